@@ -6,15 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.names import squeeze, supplier_key
 from ..operators.intervals import periods_and_gaps
+from ..operators.units import common_units
 from ..sources.tables import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["ord", "product_name", "description", "unit", "quantity", "price", "price_per_kg", "supplier", "source_title", "extracted_at"]
+    return common_units(table(spark, folder, "offers", *columns))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     offers = table(spark, folder, "offers", "supplier", "source_title", "valid_from", "valid_to")
     return periods_and_gaps(offers.withColumns({"supplier": supplier_key(offers.supplier), "source_title": squeeze(offers.source_title)}), ["supplier", "source_title"], "valid_from", "valid_to")
 
 
-QUERIES = {"p5_found": p5_found}
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found}
 
 SQL = {
     "p5_found": r"""
