@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from .components import linked_groups
+from .leaks import leaks
 from .survivors import survivors, usable_origin, usable_price
 from .tokens import corpus_ids
 
@@ -38,7 +39,11 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_ids(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text")
 
 
-QUERIES = {"p2_found": p2_found, "p6_found": p6_found, "p6_supported": p6_supported, "p7_ids": p7_ids}
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text", table(spark, folder, "bench_items", "item_id", "text"), "item_id", "text")
+
+
+QUERIES = {"p2_found": p2_found, "p6_found": p6_found, "p6_supported": p6_supported, "p7_ids": p7_ids, "p8_found": p8_found}
 
 SQL = {
     "p2_found": """
