@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
+from .canonical import map_to_list
 from .components import linked_groups
 from .leaks import leaks
 from .survivors import survivors, usable_origin, usable_price
@@ -22,6 +23,11 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return linked_groups(ids, "a", "b").withColumnRenamed("id", "product_id")
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    canon = table(spark, folder, "canonical_products", "canonical_name", "keywords")
+    return map_to_list(table(spark, folder, "offers", "ord", "product_name"), "ord", "product_name", canon, "canonical_name", "keywords")
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     offers = table(spark, folder, "offers", "offer_key", "ord", "origin", "price_per_kg", "extraction_confidence", "extracted_at")
     fields = {"origin": usable_origin(offers.origin), "price_per_kg": usable_price(offers.price_per_kg)}
@@ -43,7 +49,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaks(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text", table(spark, folder, "bench_items", "item_id", "text"), "item_id", "text")
 
 
-QUERIES = {"p2_found": p2_found, "p6_found": p6_found, "p6_supported": p6_supported, "p7_ids": p7_ids, "p8_found": p8_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p6_supported": p6_supported, "p7_ids": p7_ids, "p8_found": p8_found}
 
 SQL = {
     "p2_found": """
