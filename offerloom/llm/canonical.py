@@ -66,7 +66,8 @@ def listed_forms(canon: DataFrame, name: str, keywords: str) -> DataFrame:
 
 def _single(forms: DataFrame) -> DataFrame:
     """Forms of just one entry."""
-    return forms.groupBy("form").agg(F.min("canonical").alias("canonical"), F.max("canonical").alias("other")).where("canonical = other").drop("other")
+    one = forms.groupBy("form").agg(F.min("canonical").alias("canonical"), F.max("canonical").alias("other"), F.max(F.col("w").contains(" ")).alias("phrase"))
+    return one.where("canonical = other").drop("other")
 
 
 def _segments(length: str, k: str, i: str) -> tuple[str, str]:
@@ -76,20 +77,20 @@ def _segments(length: str, k: str, i: str) -> tuple[str, str]:
 
 
 def pigeonhole_join(cores: DataFrame, forms: DataFrame) -> DataFrame:
-    """core, canonical, edits, length: each core's (strings, once each) closest form within that form's edits, if any."""
+    """core, canonical, edits, length, phrase: each core's (strings, once each) closest form within its edits, if any."""
     keyed = forms.withColumn("len", F.length("form")).withColumn("k", edits_for(F.col("len")))
     start, size = _segments("len", "k", "i")
-    pieces = keyed.select("form", "canonical", "len", "k", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("i")).withColumn("part", F.expr(f"substring(form, {start}, {size})"))
+    pieces = keyed.select("form", "canonical", "phrase", "len", "k", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("i")).withColumn("part", F.expr(f"substring(form, {start}, {size})"))
     n = F.length("core")
     probes = cores.where("core <> ''").select("core", n.alias("n"), F.explode(F.sequence(F.greatest(n - EDITS, F.lit(1)), n + EDITS)).alias("len"))
     probes = probes.withColumn("k", edits_for(F.col("len"))).where("abs(n - len) <= k").select("*", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("i"))
     # The first segment left whole has at most i edits before it and k - i behind it, which bounds its shift both ways.
     shifts = F.explode(F.sequence(F.expr("greatest(-i, n - len - (k - i))"), F.expr("greatest(least(i, n - len + (k - i)), greatest(-i, n - len - (k - i)))")))
     probes = probes.select("*", shifts.alias("s")).select("core", "len", "i", F.expr(f"substring(core, greatest({start} + s, 1), {size})").alias("part")).distinct()
-    near = probes.join(pieces, ["len", "i", "part"]).select("core", "form", "canonical", "k").distinct()
+    near = probes.join(pieces, ["len", "i", "part"]).select("core", "form", "canonical", "phrase", "k").distinct()
     near = near.withColumn("edits", F.levenshtein("core", "form", EDITS)).where("edits >= 0 and edits <= k").where(_enough_alike(F.col("edits"), F.col("core"), F.col("form")))
-    best = near.groupBy("core").agg(F.min(F.struct("edits", (-F.length("form")).alias("shorter"), "canonical")).alias("b"))
-    return best.select("core", "b.canonical", "b.edits", (-F.col("b.shorter")).alias("length"))
+    best = near.groupBy("core").agg(F.min(F.struct("edits", (-F.length("form")).alias("shorter"), "canonical", "phrase")).alias("b"))
+    return best.select("core", "b.canonical", "b.edits", (-F.col("b.shorter")).alias("length"), "b.phrase")
 
 
 def _words_of(df: DataFrame, column: str) -> DataFrame:
@@ -119,11 +120,14 @@ def map_to_list(df: DataFrame, row: str, text: str, canon: DataFrame, name: str,
     settled = hits.join(unsettled, "w", "left_anti").select("w", "canonical")
     rest = texts.join(settled, "w", "left_anti")
     stripped = lambda d: _words_of(d, "words").join(decoration, "word", "left_anti").groupBy("w").agg(F.expr("transform(array_sort(collect_list(struct(at, word))), x -> x.word)").alias("core"))
-    turns = F.explode(F.expr(f"case when turned and size(core) between 2 and {WINDOW} then transform(sequence(0, size(core) - 1), r -> array_join(concat(slice(core, r + 1, size(core)), slice(core, 1, r)), '')) else array(array_join(core, '')) end"))
-    cores = box.keep(stripped(rest).join(rest.select("w", "turned"), "w").select("w", turns.alias("core")).distinct())
-    bare = stripped(listed.select("w", F.split("w", " ").alias("words")).distinct()).join(listed.select("w", "canonical"), "w").select(F.array_join("core", "").alias("form"), "canonical").distinct()
-    forms = _single(listed.select("form", "canonical").unionByName(bare))
-    near = cores.join(pigeonhole_join(cores.select("core").distinct(), forms), "core").groupBy("w").agg(F.min(F.struct("edits", (-F.col("length")).alias("l"), "canonical")).alias("b"))
+    # Parts in turned order are tried too; without a mark they must make a listed phrase, or a listed word unchanged
+    # ('Kartoffel Salat' is not 'Salatkartoffeln' with a letter missing).
+    turns = F.inline(F.expr(f"""transform(sequence(0, if(size(core) between 2 and {WINDOW}, size(core) - 1, 0)),
+        r -> struct(array_join(concat(slice(core, r + 1, size(core)), slice(core, 1, r)), '') as core, r > 0 and not turned as strict))"""))
+    cores = box.keep(stripped(rest).join(rest.select("w", "turned"), "w").select("w", turns).distinct())
+    bare = stripped(listed.select("w", F.split("w", " ").alias("words")).distinct()).join(listed.select("w", "canonical"), "w").select("w", F.array_join("core", "").alias("form"), "canonical").distinct()
+    forms = _single(listed.unionByName(bare))
+    near = cores.join(pigeonhole_join(cores.select("core").distinct(), forms), "core").where("not strict or phrase or edits = 0").groupBy("w").agg(F.min(F.struct("edits", (-F.col("length")).alias("l"), "canonical")).alias("b"))
     matched = settled.unionByName(near.select("w", "b.canonical"))
     meant = box.keep(names.join(matched, "w").select("text", "n", "canonical"))
     none = names.join(meant, "text", "left_anti").select("text", "n", F.lit("").alias("canonical"))
