@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
+from . import abuse
 from .canonical import map_to_list
 from .components import linked_groups
 from .leaks import leaks
@@ -49,7 +50,23 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaks(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text", table(spark, folder, "bench_items", "item_id", "text"), "item_id", "text")
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p6_supported": p6_supported, "p7_ids": p7_ids, "p8_found": p8_found}
+def p9_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text", "source")
+    scorer = abuse.train(docs, "doc_id", "text", table(spark, folder, "doc_reviews", "doc_id", "label"), "doc_id", "label")
+    return abuse.scores(docs, "doc_id", "text", scorer, "source")
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p9_scores(spark, folder).where(F.col("score") >= abuse.THRESHOLD).select("doc_id").distinct()
+
+
+def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents and the share that is abusive, by source."""
+    hit = F.sum((F.col("score") >= abuse.THRESHOLD).cast("long"))
+    return p9_scores(spark, folder).groupBy("source").agg(F.count(F.lit(1)).alias("documents"), hit.alias("abusive"), F.round(hit / F.count(F.lit(1)), 4).alias("rate"))
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p6_supported": p6_supported, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found, "p9_rates": p9_rates}
 
 SQL = {
     "p2_found": """
