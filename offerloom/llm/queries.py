@@ -10,6 +10,7 @@ from . import abuse
 from .canonical import map_to_list
 from .components import linked_groups
 from .leaks import leaks
+from .listings import product_groups, read_listings, same_product_pairs
 from .survivors import survivors, usable_origin, usable_price
 from .tokens import corpus_ids
 
@@ -29,6 +30,12 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return map_to_list(table(spark, folder, "offers", "ord", "product_name"), "ord", "product_name", canon, "canonical_name", "keywords")
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    fields = ["product_name", "brand", "product", "description", "unit", "quantity"]
+    read = read_listings(table(spark, folder, "enriched_offers", "source_row_index", *fields), "source_row_index", *fields)
+    return same_product_pairs(product_groups(read)).toDF("source_row_index_a", "source_row_index_b")
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     offers = table(spark, folder, "offers", "offer_key", "ord", "origin", "price_per_kg", "extraction_confidence", "extracted_at")
     fields = {"origin": usable_origin(offers.origin), "price_per_kg": usable_price(offers.price_per_kg)}
@@ -66,7 +73,7 @@ def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
     return p9_scores(spark, folder).groupBy("source").agg(F.count(F.lit(1)).alias("documents"), hit.alias("abusive"), F.round(hit / F.count(F.lit(1)), 4).alias("rate"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p6_supported": p6_supported, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found, "p9_rates": p9_rates}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_supported": p6_supported, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found, "p9_rates": p9_rates}
 
 SQL = {
     "p2_found": """
