@@ -241,6 +241,8 @@ def alike(one: tuple, other: tuple) -> bool:
         if x == y:
             continue
         if x and y:
+            if x == one[0] and y == other[0] and RARE * min(one[4], other[4]) > max(one[4], other[4]):
+                return False
             if edits(x, y, 2) > slip(min(len(x), len(y))) or x in PHRASES and y in PHRASES:
                 return False
         missing += 1
