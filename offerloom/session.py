@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -63,6 +63,12 @@ class Scratch:
         self.at[id(back)] = path
         return back
 
+    def measured(self, df: DataFrame, **aggregates: Column) -> tuple[DataFrame, dict]:
+        """keep(), and aggregates of the rows taken while they are written, without another job."""
+        seen = Observation()
+        back = self.keep(df.observe(seen, *[c.alias(k) for k, c in aggregates.items()]))
+        return back, seen.get
+
     def drop(self, df: DataFrame) -> None:
         if path := self.at.pop(id(df), None):
             self._delete(path)
