@@ -43,18 +43,18 @@ def linked_groups(pairs: DataFrame, left: str, right: str, seed: int = 7) -> Dat
     """
     box = Scratch(pairs.sparkSession, "linked")
     a, b = F.col(f"`{left}`").cast("string"), F.col(f"`{right}`").cast("string")
-    edges = box.keep(pairs.where(a != b).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct())
+    one = F.count(F.lit(1))
+    edges, seen = box.measured(pairs.where(a != b).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), n=one)
     rounds: list[DataFrame] = []
-    while not edges.isEmpty():
+    while seen["n"]:
         order = lambda c, r=len(rounds): F.struct(F.xxhash64(F.lit(seed + r), c).alias("h"), c.alias("v"))
         ends = F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("o")), F.struct(F.col("b").alias("v"), F.col("a").alias("o")))).alias("e")
         near = edges.select(ends).groupBy(F.col("e.v").alias("vertex")).agg(F.min(order(F.col("e.o"))).alias("first"), F.count(F.lit(1)).alias("degree"))
-        mapping = box.keep(near.select("vertex", F.least("first", order(F.col("vertex")))["v"].alias("rep"), "degree"))
+        mapping, top = box.measured(near.select("vertex", F.least("first", order(F.col("vertex")))["v"].alias("rep"), "degree"), degree=F.max("degree"))
         rounds.append(mapping)
-        hot = mapping.where(F.col("degree") > HOT_DEGREE).select("vertex")
-        hot = None if hot.isEmpty() else hot
+        hot = mapping.where(F.col("degree") > HOT_DEGREE).select("vertex") if top["degree"] > HOT_DEGREE else None
         moved = _relabel(_relabel(edges, mapping, "a", hot), mapping, "b", hot).where("a != b")
-        after = box.keep(moved.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        after, seen = box.measured(moved.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), n=one)
         box.drop(edges)
         edges = after
     if not rounds:
