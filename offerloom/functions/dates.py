@@ -27,7 +27,7 @@ def week_start(year: Column, week: Column) -> Column:
 
 
 def week_label(year: Column, week: Column) -> Column:
-    return F.format_string("KW%02d_%d", week, year)
+    return F.when(year.isNotNull() & week.isNotNull(), F.format_string("KW%02d_%d", week, year))
 
 
 def valid_through_friday(valid_to: Column, year: Column, week: Column) -> Column:

@@ -18,27 +18,28 @@ def parse_decimal(c: Column) -> Column:
 def confidence_percent(c: Column) -> Column:
     """Whole percent from 0 to 100 of a confidence on either scale (half to even); 0 for null and no number."""
     x = F.when(~F.isnan(c), c)
-    return F.coalesce(F.greatest(F.lit(0), F.least(F.lit(100), F.bround(F.when((x > 0) & (x <= 1), x * 100).otherwise(x)).cast("int"))), F.lit(0))
+    whole = F.bround(F.when((x > 0) & (x <= 1), x * 100).otherwise(x)).cast("int")
+    return F.when(x.isNull(), 0).otherwise(F.greatest(F.lit(0), F.least(F.lit(100), whole)))
 
 
 def key_number(c: Column) -> Column:
     """Four decimals as text, '' for null."""
-    return F.coalesce(F.format_string("%.4f", c), F.lit(""))
+    return F.when(c.isNull(), "").otherwise(F.format_string("%.4f", c))
 
 
 def german_number(c: Column) -> Column:
-    """At most two decimals, no closing zeros, decimal comma."""
-    return F.replace(F.regexp_replace(F.format_string("%.2f", c), r"\.?0+$", ""), F.lit("."), F.lit(","))
+    """At most two decimals, no closing zeros, decimal comma; null for null."""
+    return F.when(c.isNotNull(), F.replace(F.regexp_replace(F.format_string("%.2f", c), r"\.?0+$", ""), F.lit("."), F.lit(",")))
 
 
 def signed_percent(c: Column) -> Column:
-    return F.format_string("%+.1f%%", c)
+    return F.when(c.isNotNull(), F.format_string("%+.1f%%", c))
 
 
 def compact(c: Column) -> Column:
     """With k from a thousand and M from a million on."""
     a = F.abs(c)
-    return F.when(a >= 1e6, F.format_string("%.1fM", c / 1e6)).when(a >= 1e3, F.format_string("%.1fk", c / 1e3)).otherwise(F.format_string("%.0f", c))
+    return F.when(a >= 1e6, F.format_string("%.1fM", c / 1e6)).when(a >= 1e3, F.format_string("%.1fk", c / 1e3)).when(a.isNotNull(), F.format_string("%.0f", c))
 
 
 def kilos(quantity: Column, unit: Column) -> Column:

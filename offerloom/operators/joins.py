@@ -74,7 +74,8 @@ def with_marks(rows: DataFrame, marks: DataFrame, key: str, defaults: dict[str,
 
 def upserted(old: DataFrame, new: DataFrame, key: str, columns: list[str], empty: Column) -> DataFrame:
     """Marks after an update: new ones replace old ones of the same key, and an empty new one deletes it."""
-    n = new.select(F.col(key).alias("k"), *[F.col(c).alias("n_" + c) for c in columns], empty.alias("gone"))
-    both = old.join(n, old[key] == n["k"], "full_outer").where("gone is null or not gone")
-    has = F.col("k").isNotNull()
-    return both.select(F.coalesce(F.col(key), F.col("k")).alias(key), *[F.when(has, F.col("n_" + c)).otherwise(F.col(c)).alias(c) for c in columns])
+    n = new.select(F.col(key).alias("new_key"), *[F.col(c).alias(f"new_{i}") for i, c in enumerate(columns)], empty.alias("gone"))
+    o = old.select(F.col(key).alias("old_key"), *[F.col(c).alias(f"old_{i}") for i, c in enumerate(columns)])
+    both = o.join(n, F.col("old_key") == F.col("new_key"), "full_outer").where("gone is null or not gone")
+    has = F.col("new_key").isNotNull()
+    return both.select(F.coalesce("new_key", "old_key").alias(key), *[F.when(has, F.col(f"new_{i}")).otherwise(F.col(f"old_{i}")).alias(c) for i, c in enumerate(columns)])

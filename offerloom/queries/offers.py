@@ -11,6 +11,7 @@ from ..operators.graph import clusters
 from ..operators.joins import containment_join, dated_or_any, fuzzy_best
 from ..operators.ranking import interleaved, last_until_sure, mode_first_seen, top_k, top_k_each, winner
 from ..operators.similarity import dense_neighbours, tfidf, tfidf_neighbours
+from ..plans.comparison import comparison
 from ..sources.tables import table
 
 QUERIES, SQL = {}, {}
@@ -375,8 +376,7 @@ SELECT 'p_' || sha1(concat_ws('||', coalesce(offer_key, ''), ord::VARCHAR))[1:16
   printf('KW%02d_%d', calendar_week, year) AS week FROM offers""")
 def offer_labels(spark: SparkSession, folder: str) -> DataFrame:
     o = table(spark, folder, "offers", "offer_key", "ord", "valid_from", "valid_to", "calendar_week", "year")
-    week = F.when(o.calendar_week.isNotNull() & o.year.isNotNull(), dates.week_label(o.year, o.calendar_week))
-    return o.select(text.stable_id(o.offer_key, o.ord).alias("id"), dates.short_range(o.valid_from, o.valid_to).alias("valid"), week.alias("week"))
+    return o.select(text.stable_id(o.offer_key, o.ord).alias("id"), dates.short_range(o.valid_from, o.valid_to).alias("valid"), dates.week_label(o.year, o.calendar_week).alias("week"))
 
 
 @query(f"""
@@ -387,3 +387,16 @@ def matched_products(spark: SparkSession, folder: str) -> DataFrame:
     n = o.groupBy(text.key_text(o.product_name).alias("product"), supplier_key(o.supplier).alias("supplier")).agg(F.count(F.lit(1)).alias("n"))
     wide = n.groupBy("product").agg(F.count(F.lit(1)).alias("suppliers")).where("suppliers >= 2")
     return n.join(wide, "product").select("supplier", "product", "n", "suppliers")
+
+
+@query(f"""
+WITH k AS (SELECT canonical_name, {_KEY.format('unnest(string_split(keywords, \',\'))')} AS keyword FROM canonical_products),
+o AS (SELECT {_KEY.format('product_name')} AS name, {_S} AS s, CASE WHEN {_USABLE} THEN round(price_per_kg, 4) END AS p FROM offers),
+b AS (SELECT name, s, min(p) AS p, count(*) AS n FROM o GROUP BY 1, 2),
+m AS (SELECT name, canonical_name FROM (SELECT name, canonical_name, row_number() OVER (PARTITION BY name ORDER BY length(keyword) DESC, keyword, canonical_name) AS rn
+  FROM (SELECT DISTINCT name FROM o) JOIN k ON (contains(name, keyword) OR contains(keyword, name)) WHERE name <> '' AND keyword <> '') WHERE rn = 1),
+w AS (SELECT canonical_name, sum(n)::BIGINT AS offers, min(p) FILTER (WHERE s = 'edeka') AS edeka, min(p) FILTER (WHERE s = 'handelshof') AS handelshof,
+  min(p) FILTER (WHERE s = 'metro') AS metro, min(p) FILTER (WHERE s = 'selgros') AS selgros FROM b JOIN m USING (name) GROUP BY 1)
+SELECT *, round((greatest(edeka, handelshof, metro, selgros) - least(edeka, handelshof, metro, selgros)) / least(edeka, handelshof, metro, selgros) * 100, 2) AS spread FROM w""")
+def price_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    return comparison(spark, folder)
