@@ -63,6 +63,7 @@ _spaced = re.compile(r"(?<!\S)(?:\w ){2,}\w(?![^\s.!?,;])")
 _dotted = re.compile(r"(?<!\w)\w(?:[.\-_*·~'’,]{1,2}\w){2,}(?!\w)")
 _repeat = re.compile(r"([^\W\d_])\1{2,}")
 _leet = re.compile(r"(?<![\w@$!*])(?=[\w@$!|+€£(*#]*[a-z])(?=[\w@$!|+€£(*#]*[0-9@$|+€£(*#]|[a-z]+![a-z])[\w@$!|+€£(*#]{3,24}[a-z](?![\w@$*])|(?<![\w@$!*])[@$*][a-z]{2,}")
+_amount = re.compile(r"\d+(?:x\d+)*[a-z]{0,3}")
 _digraph = re.compile(r"([aou])e")
 
 
@@ -157,7 +158,7 @@ class Channel:
         s = _dotted.sub(fix, s)
         if _repeat.search(s):
             s = re.sub(r"[^\W\d_]*([^\W\d_])\1{2,}[^\W\d_]*", fix, s)
-        return _leet.sub(fix, s)
+        return _leet.sub(lambda m: m[0] if _amount.fullmatch(m[0]) else self.restore(m[0]), s)
 
 
 def features(mended: str) -> list[str]:
