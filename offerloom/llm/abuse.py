@@ -30,7 +30,7 @@ SAMPLE, BACKGROUND = 12_000, 6_000
 THRESHOLD = 0.6
 ROUNDS, STEPS, RIDGE = 5, 120, 2.0
 #: A statement this much (log) less telling than the usual abusive one is never taken for the meant one.
-SLACK = 1.0
+SLACK = 1.5
 
 # Signs that stand for letters; words of insult, degradation and sex; words for groups; words of address.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "*": "aeiouklrsnt", "#": "aeiou"}
@@ -246,7 +246,9 @@ def fit(texts: list[str], labels: list[int | None], channel: Channel) -> Scorer:
         target = ((kinds == 1) & telling & ((p >= 0.5) | ((p >= top) & (top >= 0.15)))).astype(float)
         weight = np.ones(n)
         weight[(kinds == 1) & (target == 0)] = np.where(p[(kinds == 1) & (target == 0)] < 0.2, 0.3, 0.0)
-        weight[(kinds == 2) & (p > 0.4) & telling] = 0.0
+        weight[(kinds == 2) & (p > 0.3) & telling] = 0.0
+        sure = (kinds == 2) & (p > 0.7) & telling
+        target[sure], weight[sure] = 1.0, 0.5
         weight[(kinds == 0) & (p > (0.9 if turn > 1 else 1.1)) & telling] = 0.0
     return Scorer({x: float(w[i]) for x, i in names.items() if abs(w[i]) > 1e-3}, float(b), channel)
 
