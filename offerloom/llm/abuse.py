@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread
+
 #: Most labelled documents, and unlabelled ones as background, that the model is fitted on.
 SAMPLE, BACKGROUND = 12_000, 6_000
 THRESHOLD = 0.6
@@ -266,7 +268,7 @@ def char_counts(texts: DataFrame) -> np.ndarray:
         yield pd.DataFrame({"at": at, "n": total[at]})
 
     out = np.zeros(CharModel.SIZE**3, dtype=np.int64)
-    for r in texts.mapInPandas(count, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect():
+    for r in spread(texts).mapInPandas(count, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect():
         out[r["at"]] = r["n"]
     return out
 
@@ -305,5 +307,5 @@ def scores(docs: DataFrame, doc: str, text: str, scorer: Scorer, *also: str) ->
 
     kinds = dict(docs.dtypes)
     keep = [doc, *also]
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("t"))
+    rows = spread(docs).select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("t"))
     return rows.mapInPandas(run, ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", score double")

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import Scratch
+from ..sources.tables import spread
 from .abuse import folded
 
 WINDOW, BLOCK = 10, 5000
@@ -192,7 +193,7 @@ class Reader:
 def read_listings(df: DataFrame, row: str, name: str, brand: str, product: str, description: str, unit: str, quantity: str) -> DataFrame:
     """row, brand, article, variant, content of each listing."""
     columns = [name, brand, product, description, unit, quantity]
-    rows = df.select(F.col(f"`{row}`").alias("row"), *[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(columns)])
+    rows = spread(df).select(F.col(f"`{row}`").alias("row"), *[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(columns)])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader()

@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..sources.tables import spread
+
 #: Fragments of at most KEEP_BYTES are remembered, KEEP of them; then the table starts anew.
 KEEP_BYTES, KEEP = 64, 400_000
 #: Bytes of text a worker splits at a time.
@@ -101,8 +103,8 @@ def corpus_ids(df: DataFrame, key: str, text: str, vocabulary: str | None = None
     """One row for each row of df: the key and ids, the text's token ids without special tokens.
 
     Texts are taken unchanged; strings that look like special tokens are ordinary text. Null and empty texts give an
-    empty list, repeated rows one row each. The vocabulary (under 1 MB) is read on the driver and broadcast. No
-    shuffle: a text never leaves its partition. Very long texts are split like any other.
+    empty list, repeated rows one row each. The vocabulary (under 1 MB) is read on the driver and broadcast. Texts
+    are only shuffled where the scan has fewer partitions than there are cores. Very long texts are split like any other.
     """
     with open(vocabulary or vocabulary_path(), "rb") as f:
         raw = f.read()
@@ -128,5 +130,5 @@ def corpus_ids(df: DataFrame, key: str, text: str, vocabulary: str | None = None
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, at - start), ids], [key, "ids"])
                 start = at
 
-    rows = df.selectExpr(f"`{key}`", f"cast(`{text}` as binary) as __text")
+    rows = spread(df).selectExpr(f"`{key}`", f"cast(`{text}` as binary) as __text")
     return rows.mapInArrow(encode, f"`{key}` {dict(df.dtypes)[key]}, ids array<int>")
