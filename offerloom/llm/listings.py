@@ -255,7 +255,7 @@ def product_groups(listings: DataFrame) -> DataFrame:
     spark = listings.sparkSession
     box = Scratch(spark, "listings")
     parts = ["brand", "article", "variant", "content"]
-    rows = box.keep(listings.withColumn("id", F.sha2(F.concat_ws("|", *parts), 256)), "rows")
+    rows = box.keep(listings.withColumn("id", F.unhex(F.md5(F.concat_ws("|", *parts)))), "rows")
     brands = rows.groupBy("brand").agg(F.count(F.lit(1)).alias("brand_n"))
     classes = box.keep(rows.groupBy("id", *parts).agg(F.count(F.lit(1)).alias("n")).join(brands, "brand"), "classes")
     back = F.reverse("brand").alias("back")
@@ -287,8 +287,8 @@ def product_groups(listings: DataFrame) -> DataFrame:
         gone = taken.select("id")
         open_ = box.keep(open_.join(gone, "id", "left_anti").join(gone.withColumnRenamed("id", "other"), "other", "left_anti"))
     if done is None:
-        return rows.select("row", F.col("id").alias("group"))
-    return rows.join(done, "id", "left").select("row", F.coalesce("to", "id").alias("group"))
+        return rows.select("row", F.hex("id").alias("group"))
+    return rows.join(done, "id", "left").select("row", F.hex(F.coalesce("to", "id")).alias("group"))
 
 
 def same_product_pairs(groups: DataFrame) -> DataFrame:
