@@ -64,8 +64,9 @@ _gone = re.compile("[­​-‏⁠﻿]")
 _spaced = re.compile(r"(?<!\S)(?:\w ){2,}\w(?![^\s.!?,;])")
 _dotted = re.compile(r"(?<!\w)\w(?:[.\-_*·~'’,]{1,2}\w){2,}(?!\w)")
 _repeat = re.compile(r"([^\W\d_])\1{2,}")
-_leet = re.compile(r"(?<![\w@$!*])(?=[\w@$!|+€£(*#]*[a-z])(?=[\w@$!|+€£(*#]*[0-9@$|+€£(*#]|[a-z]+![a-z])[\w@$!|+€£(*#]{3,24}[a-z](?![\w@$*])|(?<![\w@$!*])[@$*][a-z]{2,}")
-_amount = re.compile(r"\d+(?:x\d+)*[a-z]{0,3}")
+_mixed = re.compile(r"(?<![\w@$!|+€£(*#])(?=[\w@$!|+€£(*#]*[a-z])(?=[\w@$!|+€£(*#]*[013-9@$!|+€£(*#])[\w@$!|+€£(*#]{3,}")
+_key = re.compile(r"(?=[a-f]*\d)[0-9a-f]{8,}")
+_amount = re.compile(r"\d+(?:[xt]\d+)*[a-z]{0,3}")
 _digraph = re.compile(r"([aou])e")
 
 
@@ -109,6 +110,9 @@ class CharModel:
 class Channel:
     """Restores disguised words: the cheapest path through the lattice of what each sign may be."""
 
+    #: What a sign within a word costs if it is meant as it stands.
+    SIGN = 1.5
+
     def __init__(self, model: CharModel, known: frozenset[str]):
         self.cost, self.known, self.seen = model.cost, known, {}
 
@@ -124,13 +128,23 @@ class Channel:
             if c.isascii() and c.isalpha():
                 out.append([(c, 0.0)] if j - i == 1 else [(c, 1.5), (c + c, 0.0)] if j - i == 2 else [(c, 0.2), (c + c, 0.4)])
             elif c in LEET and not (dotted and c == "*"):
-                out.append([(x, 0.5 if c != "*" else 1.0) for x in LEET[c]] + ([("", 0.7)] if c in "!*" else []))
+                out.append([(x, 0.5 if c != "*" else 1.0) for x in LEET[c]] + ([("", 0.7)] if c in "!*(|#+" else []))
             else:
                 out.append([("", 0.1)])
             i = j
         return out
 
-    def restore(self, word: str) -> str:
+    def plain(self, word: str) -> float:
+        """What the word costs as it stands, its signs ending words; SIGN for each that isn't punctuation around it."""
+        x, y, total = 0, 0, self.SIGN * sum(not ("a" <= c <= "z") for c in word.strip("!*(|#+_"))
+        for c in word + " ":
+            k = ord(c) - 96 if "a" <= c <= "z" else 0
+            if k or y:
+                total, x, y = total + self.cost[x][y][k], y, k
+        return total
+
+    def restore(self, word: str, either: bool = False) -> str:
+        """The likeliest meaning of a disguised word; where it may be none (either), the word itself if that is likelier."""
         if word in self.seen:
             return self.seen[word]
         paths = {(0, 0): [(0.0, "")]}
@@ -147,7 +161,7 @@ class Channel:
                         after[x, y].append((total, text + add))
             paths = {s: sorted(v)[:4] for s, v in after.items()}
         ends = [(cost + self.cost[a][b][0] - (4.0 if _digraph.sub(r"\1", text) in self.known else 0.0), text) for (a, b), best in paths.items() for cost, text in best]
-        found = min(ends)[1] if ends else word
+        found = min(ends)[1] if ends and not (either and self.plain(word) <= min(ends)[0]) else word
         if len(self.seen) > 100_000:
             self.seen.clear()
         self.seen[word] = found
@@ -160,7 +174,7 @@ class Channel:
         s = _dotted.sub(fix, s)
         if _repeat.search(s):
             s = re.sub(r"[^\W\d_]*([^\W\d_])\1{2,}[^\W\d_]*", fix, s)
-        return _leet.sub(lambda m: m[0] if _amount.fullmatch(m[0]) else self.restore(m[0]), s)
+        return _mixed.sub(lambda m: m[0] if _amount.fullmatch(m[0]) or _key.fullmatch(m[0]) else self.restore(m[0], either=True), s)
 
 
 def features(mended: str) -> list[str]:

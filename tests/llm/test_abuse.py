@@ -56,3 +56,12 @@ def test_counts_are_whole(spark):
     counts = abuse.char_counts(docs.select("text"))
     whole = sum(CharModel.histogram([folded(t)]) for (t,) in docs.select("text").collect() if t)
     assert abs(int(counts.sum()) - int(whole.sum())) <= 2 * docs.count() and np.argmax(counts) == np.argmax(whole)
+
+
+def test_signs_stand_anywhere():
+    texts = FINE + BAD + ["wichse kacke nutte sex wir kommen um zwei und gehen dann nach hause"]
+    c = Channel(CharModel(CharModel.histogram([folded(t) for t in texts * 5])), abuse._words["lex"])
+    for seen, meant in (("w1chs3", "wichse"), ("kack3", "kacke"), ("nutt3!", "nutte!"), ("s3x", "sex"), ("a$$", "ass")):
+        assert c.mend(seen).rstrip("!") == meant.rstrip("!"), seen
+    plain = "am 2026-01-12t11:30 500g 2x3 kg (muskat, senf) seite_053 5ad0ca8288fcf0fc"
+    assert c.mend(plain).replace("(", "") == plain.replace("(", "")
