@@ -201,7 +201,8 @@ v AS (SELECT doc, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc)) AS w FROM r
 @query(_TFIDF + """, s AS (SELECT a.doc AS query, b.doc AS source_row_index, round(sum(a.w * b.w), 4) AS similarity FROM v a JOIN v b USING (term) WHERE a.doc % 50 = 0 AND a.doc <> b.doc GROUP BY 1, 2)
 SELECT query, source_row_index, similarity, rn AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY similarity DESC, source_row_index) AS rn FROM s) WHERE rn <= 5""")
 def tfidf_top_k(spark: SparkSession, folder: str) -> DataFrame:
-    e = table(spark, folder, "enriched_offers", "source_row_index", "product_name", "brand").where("brand <> ''")
+    """Every listing counts, with or without a brand; every fiftieth one asks."""
+    e = table(spark, folder, "enriched_offers", "source_row_index", "product_name")
     v = tfidf(e, "source_row_index", F.col("product_name"))
     return tfidf_neighbours(v.where("source_row_index % 50 = 0"), v, "source_row_index", 5)
 
