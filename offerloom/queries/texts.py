@@ -136,8 +136,7 @@ SELECT doc_id, upper(left(t, 1)) || substr(t, 2) AS title, trim(both '_' FROM re
 FROM (SELECT doc_id, split_part(title, ' ', 1) AS t FROM documents WHERE title <> '' AND title IS NOT NULL)""")
 def title_slugs(spark: SparkSession, folder: str) -> DataFrame:
     d = table(spark, folder, "documents", "doc_id", "title").where("title <> ''")
-    t = F.split_part("title", F.lit(" "), F.lit(1))
-    return d.select("doc_id", text.title_first(t).alias("title"), text.slug(t, "").alias("slug"))
+    return d.select("doc_id", text.title_first(d.title).alias("title"), text.slug(d.title, "").alias("slug"))
 
 
 @query("""
