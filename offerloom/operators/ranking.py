@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import Scratch
+
 
 def winner(df: DataFrame, by: list[str], best: list[Column]) -> DataFrame:
     """The one row of each group that is greatest by best (columns compared one after the other, nulls least)."""
@@ -36,6 +38,22 @@ def last_until_sure(df: DataFrame, by: list[str], row: str, order: str, sure: Co
 
 
 def interleaved(df: DataFrame, source: str, rank: list[Column], source_rank: Column) -> DataFrame:
-    """position: first rows of all sources, then the second ones, and so on."""
-    numbered = df.withColumn("round", F.row_number().over(Window.partitionBy(source).orderBy(*rank)))
-    return numbered.orderBy("round", source_rank)
+    """round and position: first rows of all sources, then the second ones, and so on.
+
+    Rows are numbered within the parts of a range partitioning and the parts' counts added up, so no task holds a whole
+    source; the position follows from the round and the sources' counts. rank must order a source's rows fully.
+    """
+    parts = df.repartitionByRange(source_rank, F.col(source), *rank).withColumn("part", F.spark_partition_id())
+    parts = Scratch(df.sparkSession, "interleaved").keep(parts)
+    counts = parts.groupBy(source, "part").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(source_rank.alias("r"))).alias("r"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(source).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = counts.groupBy(source).agg(F.sum("n").alias("n"), F.min("r").alias("r"))
+    order = F.sort_array(F.collect_list(F.struct("r", source, "n"))).alias("sizes")
+    starts = counts.select(F.col(source).alias("of"), F.col("part").alias("in"), before.alias("before"))
+    numbered = parts.withColumn("round", F.row_number().over(Window.partitionBy("part", source).orderBy(*rank)))
+    numbered = numbered.join(F.broadcast(starts), F.col(source).eqNullSafe(F.col("of")) & (F.col("part") == F.col("in"))).withColumn("round", F.col("round") + F.col("before"))
+    full = F.aggregate("sizes", F.lit(0).cast("long"), lambda n, x: n + F.least(x["n"], F.col("round") - 1))
+    own = F.struct(F.struct(source_rank.alias("r")).alias("r"), F.col(source).alias(source))
+    level = F.size(F.filter("sizes", lambda x: (x["n"] >= F.col("round")) & (F.struct(x["r"].alias("r"), x[source].alias(source)) <= own)))
+    placed = numbered.crossJoin(F.broadcast(sizes.agg(order))).withColumn("position", full + level)
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], "round", "position").orderBy("position")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import arrays, dates, numbers, text
 from ..functions.names import squeeze, supplier_key
 from ..operators.graph import clusters
 from ..operators.joins import containment_join, dated_or_any, fuzzy_best
-from ..operators.ranking import interleaved, last_until_sure, mode_first_seen, top_k, top_k_each, winner
+from ..operators.ranking import interleaved, last_until_sure, mode_first_seen, top_k, winner
 from ..operators.similarity import dense_neighbours, tfidf, tfidf_neighbours
 from ..plans.comparison import comparison
 from ..sources.tables import table
@@ -316,9 +316,8 @@ WITH s AS (SELECT {_S} AS supplier, ord, row_number() OVER (PARTITION BY {_S} OR
 SELECT row_number() OVER (ORDER BY rn, supplier) AS position, supplier, ord FROM s ORDER BY rn, supplier LIMIT 40""")
 def interleave_suppliers(spark: SparkSession, folder: str) -> DataFrame:
     o = table(spark, folder, "offers", "ord", "supplier", "price").withColumn("supplier", supplier_key(F.col("supplier")))
-    best = top_k_each(o, ["supplier"], 40, F.col("price").desc(), F.col("ord")).drop("rank")
-    rows = interleaved(best, "supplier", [F.col("price").desc(), F.col("ord")], F.col("supplier")).limit(40)
-    return rows.withColumn("position", F.row_number().over(Window.orderBy("round", "supplier")).cast("long")).select("position", "supplier", "ord")
+    rows = interleaved(o, "supplier", [F.col("price").desc(), F.col("ord")], F.col("supplier"))
+    return rows.select("position", "supplier", "ord")
 
 
 @query("""
