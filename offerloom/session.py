@@ -27,14 +27,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset (local runs only)."""
-    there = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    there = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if there:
         return there.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    there = tempfile.mkdtemp(prefix="offerloom-")
-    spark.conf.set("spark.checkpoint.dir", there)
-    return there
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="offerloom-"))
+    return context.getCheckpointDir()
 
 
 class Scratch:
