@@ -2,14 +2,18 @@
 
 Each item is cut into pieces of PIECE words. A run of WORDS item words holds at least BUDGET + 1 whole pieces, so with
 at most BUDGET edits one of them stands in the document unchanged. Exact piece hits come from one Aho-Corasick pass
-over each document. Around a hit the item's windows of WORDS words are held against the document by Myers' bit-parallel
-distance. As leaks are exact here, a cheap exact comparison of the words comes first and spares most distances.
+over each document. A hit is followed up if the words around it agree as far as they must for some window within the
+budget (REACH words, the same pigeonhole argument once more; it loses nothing). Around it the item's windows of WORDS
+words are held against the document by Myers' bit-parallel distance, which decides: a pair is reported with its least
+number of edits, and a leak is a pair with none.
 
-The corpus is read once and never shuffled: the items (a stated query set) are broadcast in blocks of bounded size.
+The corpus is read once for each BLOCK_CHARS characters of item text and never shuffled: the items (a stated query set)
+are broadcast in blocks of bounded size.
 """
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
@@ -20,12 +24,31 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import spread
 
-WORDS, PIECE = 15, 5
-#: Whole pieces in any run of WORDS words, less one.
-BUDGET = (WORDS - PIECE + 1) // PIECE - 1
+#: Words of a passage, and the edits (of letters) that it may hold.
+WORDS, BUDGET = 15, 1
+#: Words of a piece, so that any WORDS words hold BUDGET + 1 whole pieces wherever they begin.
+PIECE = (WORDS + 1) // (BUDGET + 2)
 #: Characters of item text broadcast at a time.
 BLOCK_CHARS = 8_000_000
 
+
+def reach(words: int, piece: int, budget: int) -> int:
+    """Words that stand unchanged around a whole piece in any window of that many words with at most budget edits.
+
+    The least, over all places of the pieces and of the edited words, of the longest unchanged run that holds a piece.
+    """
+    least = words
+    for first in range(piece):
+        starts = range(first, words - piece + 1, piece)
+        for edited in itertools.combinations(range(words), budget):
+            cuts = [-1, *edited, words]
+            runs = [b - a - 1 for a, b in zip(cuts, cuts[1:], strict=False) if any(a < s and s + piece <= b for s in starts)]
+            least = min(least, max(runs))
+    return least
+
+
+REACH = reach(WORDS, PIECE, BUDGET)
+
 # Letters with marks and the letters they fold to; letters whose UTF-8 is often read as Latin-1.
 MARKED, PLAIN = "äöüáàâãåéèêëíìîïóòôõúùûñçýÿ", "aouaaaaaeeeeiiiioooouuuncyy"
 MISREAD = "äöüÄÖÜßéèêàâçñ"
@@ -50,9 +73,9 @@ def folded_words(text: Column) -> Column:
     return F.trim(F.regexp_replace(s, r"[^\p{L}\p{N}]+", " "))
 
 
-def myers(pattern: str, text: str) -> int:
-    """The least number of edits between pattern and any part of text."""
-    m = len(pattern)
+def myers(pattern: str, text: str, most: int | None = None) -> int:
+    """The least number of edits between pattern and any part of text; any number over most if there are more than that."""
+    m, left = len(pattern), len(text)
     if not m:
         return 0
     peq: dict[str, int] = {}
@@ -71,7 +94,9 @@ def myers(pattern: str, text: str) -> int:
             score -= 1
         ph, mh = ph << 1 & mask, mh << 1 & mask
         pv, mv = mh | (~(xv | ph) & mask), ph & xv
-        best = min(best, score)
+        best, left = min(best, score), left - 1
+        if most is not None and best > most and score - left > most:  # a character lowers the score by one at most
+            break
     return best
 
 
@@ -102,14 +127,14 @@ class Finder:
         if self.pieces:
             self.machine.make_automaton()
 
-    def leaked(self, folded: str) -> set:
-        """Keys of the items of which the text holds WORDS consecutive words."""
+    def distances(self, folded: str) -> dict:
+        """Keys of the items of which the text holds a passage within the budget, each with its least edits."""
         if not self.pieces or not folded:
-            return set()
-        chars, found, edges, seen = folded.replace(" ", ""), set(), None, set()
+            return {}
+        chars, found, edges, seen = folded.replace(" ", ""), {}, None, set()
         for end, (size, places) in self.machine.iter(chars):
             for item, word in places:
-                if item.key in found or (item.key, shift := end + 1 - size - item.starts[word], word) in seen:
+                if found.get(item.key) == 0 or (item.key, shift := end + 1 - size - item.starts[word], word) in seen:
                     continue
                 seen.add((item.key, shift, word))
                 if edges is None:
@@ -117,46 +142,56 @@ class Finder:
                     for w in folded.split():
                         at += len(w)
                         edges.add(at)
-                if self._run(item, word, shift, chars, edges) >= WORDS and self._verify(item, word, shift, chars):
-                    found.add(item.key)
+                edits = self._verify(item, word, shift, chars, edges, found.get(item.key, BUDGET + 1))
+                if edits <= BUDGET:
+                    found[item.key] = edits
         return found
 
-    def _verify(self, item: Item, word: int, shift: int, chars: str) -> bool:
-        """Whether a window of WORDS item words around the hit stands in the text with at most BUDGET edits."""
-        count = len(item.starts) - 1
+    def _verify(self, item: Item, word: int, shift: int, chars: str, edges: set[int], known: int) -> int:
+        """The least edits of the windows of WORDS item words around a hit, or known if none has fewer.
+
+        A window that stands in the text only within a longer word has one edit.
+        """
+        low, high = self._run(item, word, shift, chars)
+        if high - low < REACH:
+            return known
+        count, last = len(item.starts) - 1, None
+        inside = high - low >= WORDS
         for first in range(min(word, count - WORDS), max(-1, word + PIECE - WORDS - 1), -1):
+            if min(high, first + WORDS) - max(low, first) < REACH or known <= (0 if inside and low <= first and first + WORDS <= high else 1):
+                continue
             a, b = item.starts[first], item.starts[first + WORDS]
-            if myers(item.chars[a:b], chars[max(0, a + shift - BUDGET) : max(0, b + shift + BUDGET)]) <= BUDGET:
-                return True
-        return False
+            last = myers(item.chars[a:b], chars[max(0, a + shift - BUDGET) : max(0, b + shift + BUDGET)], BUDGET)
+            if last == 0 and not (a + shift in edges and b + shift in edges and chars.startswith(item.chars[a:b], a + shift)):
+                last = 1
+            known = min(known, last)
+            if known == 0:
+                break
+        return known
 
     @staticmethod
-    def _run(item: Item, word: int, shift: int, chars: str, edges: set[int]) -> int:
-        """Whole item words that stand in the text without any difference around a hit."""
+    def _run(item: Item, word: int, shift: int, chars: str) -> tuple[int, int]:
+        """First and last whole item word that stand in the text without any difference around a hit."""
         a, b = item.starts[word], item.starts[word + PIECE]
         while a > 0 and a + shift > 0 and item.chars[a - 1] == chars[a - 1 + shift]:
             a -= 1
         while b < len(item.chars) and b + shift < len(chars) and item.chars[b] == chars[b + shift]:
             b += 1
-        first, last = bisect_left(item.starts, a), bisect_right(item.starts, b) - 1
-        while first < last and item.starts[first] + shift not in edges:
-            first += 1
-        while first < last and item.starts[last] + shift not in edges:
-            last -= 1
-        return last - first
+        return bisect_left(item.starts, a), bisect_right(item.starts, b) - 1
 
 
-def leaks(docs: DataFrame, doc: str, text: str, items: DataFrame, item: str, item_text: str) -> DataFrame:
-    """Each document and item of which the document holds at least WORDS consecutive words: doc, item, once a pair.
+def passages(docs: DataFrame, doc: str, text: str, items: DataFrame, item: str, item_text: str) -> DataFrame:
+    """Each document and item of which the document holds a passage of WORDS words with at most BUDGET edits: doc, item
+    and edits, the least number, once a pair.
 
     Case, punctuation, spacing, line breaks, words divided by a hyphen at a line end and the spelling or encoding of
-    umlauts don't matter. Null and empty texts hold nothing; items of fewer than WORDS words can't leak; rows that
+    umlauts are no edits. Null and empty texts hold nothing; items of fewer than WORDS words can't leak; rows that
     repeat an id count once. Other columns are not read. An empty table on either side gives no rows.
     """
     spark = docs.sparkSession
     listed = items.select(F.col(f"`{item}`").alias("item"), folded_words(F.col(f"`{item_text}`")).alias("w")).where("item is not null and w <> ''")
     blocks = int(listed.agg(F.sum(F.length("w"))).first()[0] or 0) // BLOCK_CHARS + 1
-    kinds = f"doc {dict(docs.dtypes)[doc]}, item {dict(items.dtypes)[item]}"
+    kinds = f"doc {dict(docs.dtypes)[doc]}, item {dict(items.dtypes)[item]}, edits int"
     texts = spread(docs).select(F.col(f"`{doc}`").alias("doc"), folded_words(F.col(f"`{text}`")).alias("w")).where(f"length(w) >= {WORDS}")
     out = None
     for k in range(blocks):
@@ -169,9 +204,15 @@ def leaks(docs: DataFrame, doc: str, text: str, items: DataFrame, item: str, ite
                 _automata[mark] = Finder(shared.value)
             finder = _automata[mark]
             for frame in frames:
-                hits = [(d, i) for d, w in zip(frame["doc"], frame["w"], strict=True) for i in finder.leaked(w)]
-                yield pd.DataFrame(hits, columns=["doc", "item"])
+                hits = [(d, i, n) for d, w in zip(frame["doc"], frame["w"], strict=True) for i, n in finder.distances(w).items()]
+                yield pd.DataFrame(hits, columns=["doc", "item", "edits"])
 
         found = texts.mapInPandas(search, kinds)
         out = found if out is None else out.unionByName(found)
-    return out.distinct().select(F.col("doc").alias(doc), F.col("item").alias(item))
+    least = out.groupBy("doc", "item").agg(F.min("edits").alias("edits"))
+    return least.select(F.col("doc").alias(doc), F.col("item").alias(item), "edits")
+
+
+def leaks(docs: DataFrame, doc: str, text: str, items: DataFrame, item: str, item_text: str) -> DataFrame:
+    """Each document and item of which the document holds at least WORDS consecutive words: the passages without edits."""
+    return passages(docs, doc, text, items, item, item_text).where("edits = 0").drop("edits")

@@ -9,7 +9,7 @@ from ..sources.tables import table
 from . import abuse
 from .canonical import map_to_list
 from .components import linked_groups
-from .leaks import leaks
+from .leaks import MARKED, MISREAD, PLAIN, leaks, passages
 from .listings import product_groups, read_listings, same_product_pairs
 from .survivors import survivors, usable_origin, usable_price
 from .tokens import corpus_ids
@@ -57,6 +57,11 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaks(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text", table(spark, folder, "bench_items", "item_id", "text"), "item_id", "text")
 
 
+def p8_edited(spark: SparkSession, folder: str) -> DataFrame:
+    """All passages within the budget of edits, the exact ones among them."""
+    return passages(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text", table(spark, folder, "bench_items", "item_id", "text"), "item_id", "text")
+
+
 def p9_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text", "source")
     scorer = abuse.train(docs, "doc_id", "text", table(spark, folder, "doc_reviews", "doc_id", "label"), "doc_id", "label")
@@ -73,9 +78,30 @@ def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
     return p9_scores(spark, folder).groupBy("source").agg(F.count(F.lit(1)).alias("documents"), hit.alias("abusive"), F.round(hit / F.count(F.lit(1)), 4).alias("rate"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_supported": p6_supported, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found, "p9_rates": p9_rates}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_supported": p6_supported, "p7_ids": p7_ids, "p8_found": p8_found, "p8_edited": p8_edited, "p9_found": p9_found, "p9_rates": p9_rates}
+
+
+
+def _folded_sql(text: str) -> str:
+    """leaks.folded_words in SQL."""
+    mended = text
+    for c in MISREAD:
+        for way in ("latin-1", "cp1252"):
+            if len(broken := c.encode().decode(way, "ignore")) == 2:
+                mended = f"replace({mended}, '{broken}', '{c}')"
+    s = f"lower(CASE WHEN contains({text}, 'Ã') THEN {mended} ELSE {text} END)"
+    s = rf"regexp_replace({s}, '[\x{{ad}}\x{{300}}-\x{{36f}}\x{{200b}}-\x{{200f}}\x{{2060}}\x{{feff}}]|[-\x{{2010}}\x{{2011}}][ \t\x{{a0}}]*(?:\r\n|[\n\x0b\f\r\x{{85}}\x{{2028}}\x{{2029}}])[ \t\n\x0b\f\r]*', '', 'g')"
+    s = f"regexp_replace(translate(replace({s}, 'ß', 'ss'), '{MARKED}', '{PLAIN}'), '([aou])e', '\\1', 'g')"
+    return f"trim(regexp_replace({s}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+
 
 SQL = {
+    "p8_found": f"""
+WITH i AS (SELECT item_id, string_split({_folded_sql('text')}, ' ') AS w FROM bench_items),
+d AS (SELECT doc_id, string_split({_folded_sql('text')}, ' ') AS w FROM documents WHERE text IS NOT NULL),
+iw AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 14], ' ') AS run FROM (SELECT item_id, w, unnest(range(1, len(w) - 13)) AS k FROM i)),
+dw AS (SELECT doc_id, array_to_string(w[k:k + 14], ' ') AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 13)) AS k FROM d))
+SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (run)""",
     "p2_found": """
 WITH RECURSIVE e AS (
   SELECT DISTINCT lower(trim(product_id_a)) AS a, lower(trim(product_id_b)) AS b FROM pair_decisions

@@ -5,7 +5,7 @@ import unicodedata
 from pyspark.sql import functions as F
 
 import offerloom.llm.leaks as leaks_module
-from offerloom.llm.leaks import BUDGET, folded_words, leaks, myers
+from offerloom.llm.leaks import BUDGET, PIECE, REACH, WORDS, folded_words, leaks, myers, passages, reach
 
 ITEMS = {i: " ".join(f"{random.Random(i * 100 + k).choice(['Käse', 'für', 'neun', 'Öl', 'Straße', 'Hahn', 'gut'])}{k * 7 + i}" for k in range(40 + i)) for i in range(6)}
 
@@ -71,3 +71,45 @@ def test_pieces(spark):
         assert myers(p, t) == best(p, t)
     assert BUDGET == 1
     assert spark.range(1).select(folded_words(F.lit("Neue Größe: „Süß-\n speise“ 3,5"))).first()[0] == "neu grosse sussspeise 3 5"
+
+
+def edited(spark, docs):
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    b = spark.createDataFrame(list(ITEMS.items()), "item_id bigint, text string")
+    return {(r["doc_id"], r["item_id"]): r["edits"] for r in passages(d, "doc_id", "text", b, "item_id", "text").collect()}
+
+
+def test_edited_passages_are_decided_by_the_distance(spark, monkeypatch):
+    rng = random.Random(5)
+    docs, chars = [], {i: t for i, t in ITEMS.items()}
+    for k in range(80):
+        words = cut(k % 6, rng.randint(0, 20), 15).split()
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            at = rng.randrange(15)
+            w = words[at]
+            words[at] = rng.choice([w + "x", w[1:], "x" + w[1:], w[:-1] + "x"])
+        docs.append("vor " + " ".join(words) + " nach")
+    plain = lambda t: "".join(r[0].split()) if (r := fold[t]) else ""
+    every = [*docs, *(" ".join(t.split()[k : k + 15]) for t in chars.values() for k in range(len(t.split()) - 14))]
+    folded = spark.createDataFrame([(t,) for t in every], "t string").select("t", folded_words(F.col("t")).alias("w")).collect()
+    fold = {r["t"]: (r["w"],) for r in folded}
+    want = {}
+    for d, text in enumerate(docs):
+        for i, t in chars.items():
+            w = t.split()
+            best = min(myers(plain(" ".join(w[k : k + 15])), plain(text)) for k in range(len(w) - 14))
+            if best <= BUDGET:
+                want[d, i] = best
+    got = edited(spark, docs)
+    assert set(got) == set(want) and {0, 1} <= set(want.values())
+    assert all(got[k] == v for k, v in want.items() if v) and all(got[k] in (0, 1) for k in want)
+    monkeypatch.setattr(leaks_module, "myers", lambda *_: 0)
+    finder = leaks_module.Finder([(i, fold_item) for i, fold_item in ((i, " ".join(ITEMS[i].lower().split())) for i in (0,))])
+    words = ITEMS[0].lower().split()[:15]
+    words[7] = "ganz"
+    words[12] = "anders"
+    assert finder.distances(" ".join(words)), "with the distance switched off a passage with two foreign words passes"
+
+
+def test_reach():
+    assert (WORDS, PIECE, BUDGET, REACH) == (15, 5, 1, 6) and reach(15, 4, 2) >= 4 and reach(15, 8, 0) == 15
