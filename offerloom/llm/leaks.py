@@ -155,20 +155,32 @@ class Finder:
         low, high = self._run(item, word, shift, chars)
         if high - low < REACH:
             return known
-        count, last = len(item.starts) - 1, None
-        inside = high - low >= WORDS
-        for first in range(min(word, count - WORDS), max(-1, word + PIECE - WORDS - 1), -1):
-            if min(high, first + WORDS) - max(low, first) < REACH or known <= (0 if inside and low <= first and first + WORDS <= high else 1):
+        for first in self._windows(len(item.starts) - 1, word, low, high):
+            exact = low <= first and first + WORDS <= high
+            if known <= (0 if exact else 1):
                 continue
             a, b = item.starts[first], item.starts[first + WORDS]
-            last = myers(item.chars[a:b], chars[max(0, a + shift - BUDGET) : max(0, b + shift + BUDGET)], BUDGET)
-            if last == 0 and not (a + shift in edges and b + shift in edges and chars.startswith(item.chars[a:b], a + shift)):
-                last = 1
-            known = min(known, last)
+            edits = myers(item.chars[a:b], chars[max(0, a + shift - BUDGET) : max(0, b + shift + BUDGET)], BUDGET)
+            if edits == 0 and not (a + shift in edges and b + shift in edges and chars.startswith(item.chars[a:b], a + shift)):
+                edits = 1
+            known = min(known, edits)
             if known == 0:
                 break
         return known
 
+    @staticmethod
+    def _windows(count: int, word: int, low: int, high: int) -> list[int]:
+        """First words of the windows around a hit that can be the best ones, given the unchanged run of words.
+
+        Those within the run. Of those that pass one end of the run only the one that holds all of the run up to its
+        other end: the others have its edits at least. Those that pass both ends, where the budget has an edit for each.
+        """
+        every = range(max(0, word + PIECE - WORDS), min(word, count - WORDS) + 1)
+        inside = [f for f in every if low <= f and f + WORDS <= high]
+        ahead, behind = [f for f in every if f >= low and f + WORDS > high][:1], [f for f in every if f < low and f + WORDS <= high][-1:]
+        around = [f for f in every if f < low and f + WORDS > high] if BUDGET > 1 else []
+        return inside + ahead + behind + around
+
     @staticmethod
     def _run(item: Item, word: int, shift: int, chars: str) -> tuple[int, int]:
         """First and last whole item word that stand in the text without any difference around a hit."""
