@@ -2,12 +2,16 @@
 or piece, with values on a wrong scale found by changepoint search on each source's history.
 
 Text is read by column expressions. Each row then has up to two log values: how its quantity compares with the content
-its text states, and how its price for the amount compares with the unit price it states. The history of a source is
-segmented on these values (operators.changepoints); a segment whose level matches a known factor marks values on
-another scale, which are reversed where the row's own fields agree.
-
-Skew: a source's history is cut at calendar months and after BLOCK rows. Levels are absolute (a row against its own
-other fields), so such a cut loses no shift, and no source, however many rows it has, falls to one task.
+its text states (or, without one, with the unit price it states), and how its price for the amount compares with that
+unit price. The history of a source is segmented on these values (operators.changepoints), and the segments decide: one
+whose level matches a known factor marks values on another scale, which are reversed. A row without such a value of its
+own is reversed too where it lies within a segment that SUPPORT values stand for; between two segments it stays as
+printed.
+
+Skew: a source's history of more than BLOCK rows is cut into slices of equal time, about BLOCK rows each, so that no
+source falls to one task. Neighbouring slices overlap by OVERLAP of their length: the rows there are context on one side
+and reported on the other, so a segment that a cut divides is seen from both. A slice that is still longer (many rows at
+one time) streams through its task in blocks, each with CONTEXT rows before and behind it.
 """
 
 from __future__ import annotations
@@ -21,11 +25,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import squeeze, supplier_key
-from .changepoints import levels
+from .changepoints import segments
 
-BLOCK = 4096
-#: A change must explain this much squared log deviation; a lone value a factor e**1.5 off still becomes its own segment.
-PENALTY = 1.0
+BLOCK, OVERLAP, CONTEXT = 4096, 1 / 16, 64
+#: A change must explain this much squared log deviation. Contents agree exactly, stated prices are rounded: a lone
+#: value more than a factor 1.15 (content) or 1.37 (price) off is a segment of its own.
+CONTENT_PENALTY, PRICE_PENALTY = 0.01, 0.05
+#: Values that must stand for a segment before it decides on rows without one.
+SUPPORT = 5
+#: A level is a factor if it is this near to it (log).
+NEAR = 0.05
 
 # Units of weight and volume (base unit, amount in it), pieces, and stated prices that only fill the field.
 MEASURES = {
@@ -80,16 +89,12 @@ def read_content(text: str | None) -> tuple[str | None, float]:
 
 
 def found_texts(df: DataFrame, row: str) -> DataFrame:
-    """Row id, time and numbers of each row with a positive price, and what its text states: content, or else count.
-
-    The text is searched only where it can matter: not beside a unit of weight or volume, unless the quantity is so
-    large that it may be on a smaller scale.
-    """
+    """Row id, source, time and numbers of each row with a positive price, and what its text states: content, or count."""
     text = F.lower(F.concat_ws("\n", "product_name", "description"))
     quantity = F.when(F.col("quantity").isNull() | F.isnan("quantity"), 1.0).otherwise(F.col("quantity"))
     measured = F.coalesce(F.col("unit").rlike(rf"(?i)^\s*(?:(?:je|per|pro|/)\s*)?\d*\s*(?:{'|'.join(MEASURES)})\.?\s*$"), F.lit(False))
-    content = F.when(~measured | (quantity >= 50), F.nullif(F.regexp_extract(text, CONTENT, 0), F.lit("")))
-    source = F.xxhash64(supplier_key(F.col("supplier")), squeeze(F.col("source_title")), F.date_trunc("month", "extracted_at"))
+    content = F.nullif(F.regexp_extract(text, CONTENT, 0), F.lit(""))
+    source = F.xxhash64(supplier_key(F.col("supplier")), squeeze(F.col("source_title")))
     rows = df.select(
         F.col(f"`{row}`").alias("row"), source.alias("source"), F.col("extracted_at").alias("at"), F.col("unit"), quantity.alias("quantity"),
         "price", F.col("price_per_kg").alias("stated"), content.alias("content"), F.when(~measured, text).alias("text"),
@@ -98,6 +103,28 @@ def found_texts(df: DataFrame, row: str) -> DataFrame:
     return rows.withColumn("count", count).drop("text")
 
 
+def sliced(df: DataFrame, rows: DataFrame) -> DataFrame:
+    """rows with their slice of the source's history; rows near its ends once more as context (own = false).
+
+    The sources' sizes and spans come from a scan of df's own columns; they are one row a source. Rows without a time come
+    first.
+    """
+    at = F.unix_micros(F.col("at").cast("timestamp"))
+    source = F.xxhash64(supplier_key(F.col("supplier")), squeeze(F.col("source_title"))).alias("source")
+    when = df.select(source, F.unix_micros(F.col("extracted_at").cast("timestamp")).alias("us"))
+    spans = when.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min("us").alias("low"), F.max("us").alias("high")).where(F.col("n") > BLOCK)
+    joined = rows.join(spans, "source", "left")
+    slices = F.ceil(F.col("n") / BLOCK)
+    place = (F.coalesce(at, F.col("low")) - F.col("low")) / F.greatest(F.col("high") - F.col("low"), F.lit(1)) * slices
+    here = F.coalesce(F.least(F.floor(place), slices - 1), F.lit(0))
+    inside = place - here
+    as_slice = lambda at, own: F.struct(at.cast("bigint").alias("slice"), F.lit(own).alias("own"))
+    before, behind = F.when((inside < OVERLAP) & (here > 0), F.array(as_slice(here - 1, False))), F.when((inside > 1 - OVERLAP) & (here < slices - 1), F.array(as_slice(here + 1, False)))
+    none = F.array().cast("array<struct<slice:bigint,own:boolean>>")
+    every = F.inline(F.concat(F.array(as_slice(here, True)), F.coalesce(before, none), F.coalesce(behind, none)))
+    return joined.select(*rows.columns, every)
+
+
 def _by_value(column: pd.Series, read) -> tuple[np.ndarray, np.ndarray]:
     """read() of each value, once for each distinct one: base units and amounts."""
     codes, values = pd.factorize(column, use_na_sentinel=False)
@@ -113,10 +140,11 @@ def read_amounts(rows: pd.DataFrame) -> pd.DataFrame:
     measured = (base == "g") | (base == "ml")
     weighed = ~measured & (content > 0)
     times = np.select([measured, weighed, count > 0], [factor, content, count], 1.0)
-    out = rows[["row", "source", "price"]].assign(base=np.where(weighed, kind, np.where(count > 0, np.where(measured, base, "stueck"), base)), amount=quantity * times)
+    out = rows[["row", "source", "slice", "own", "price"]].assign(base=np.where(weighed, kind, np.where(count > 0, np.where(measured, base, "stueck"), base)), amount=quantity * times)
     stated = rows["stated"].to_numpy(float)
     stated = np.where((stated > 0) & ~np.isin(stated, FILL_INS), stated, np.nan)
     with np.errstate(divide="ignore", invalid="ignore"):
+        out["measured"] = measured
         out["content_log"] = np.where(measured & (kind == base) & (content > 0), np.log(out["amount"] / content), np.nan)
         out["price_log"] = np.log(out["price"] / out["amount"] * np.where(out["base"] == "stueck", 1.0, 1000.0) / stated)
     return out[out["base"].notna() & (out["amount"] < 1e12)].reset_index(drop=True)
@@ -129,52 +157,49 @@ PRICE_FACTORS = np.log([0.001, 0.01, 0.02, 0.1, 1.0, 2.0, 10.0, 100.0, 200.0, 10
 PRICE_IS_CENTS = np.array([False, False, False, False, False, False, False, True, True, True])
 
 
-def _nearest(x: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    return np.abs(x[:, None] - factors[None, :]).argmin(axis=1)
-
-
-def _histories(source: np.ndarray) -> list[tuple[int, int]]:
-    edges = np.flatnonzero(np.diff(source)) + 1
-    bounds = [0, *edges.tolist(), len(source)]
-    return [(s, min(s + BLOCK, b)) for a, b in zip(bounds, bounds[1:], strict=False) for s in range(a, b, BLOCK)]
+def _histories(rows: pd.DataFrame) -> list[tuple[int, int]]:
+    source, part = rows["source"].to_numpy(), rows["slice"].to_numpy()
+    edges = np.flatnonzero((source[1:] != source[:-1]) | (part[1:] != part[:-1])) + 1
+    return list(zip([0, *edges.tolist()], [*edges.tolist(), len(rows)], strict=True))
 
 
-def _levels(x: np.ndarray, blocks: list[tuple[int, int]]) -> np.ndarray:
-    """Segment levels by history; nan where a row has no value."""
+def _levels(x: np.ndarray, blocks: list[tuple[int, int]], penalty: float) -> np.ndarray:
+    """Segment levels by history. A row without a value takes the level of the segment around it if enough values stand
+    for that; else nan."""
     out, there = np.full(len(x), np.nan), ~np.isnan(x)
-    low = np.array([a for a, _ in blocks])
-    y = np.where(there, x, 0.0)
-    n, s, q = (np.add.reduceat(v, low) for v in (there.astype(float), y, y * y))
-    mean = s / np.maximum(n, 1)
-    flat = q - mean * s <= PENALTY
-    sizes = np.array([b - a for a, b in blocks])
-    out = np.where(there & np.repeat(flat, sizes), np.repeat(mean, sizes), out)
-    for i in np.flatnonzero(~flat):
-        a, b = blocks[i]
+    for a, b in blocks:
         at = a + np.flatnonzero(there[a:b])
-        out[at] = levels(x[at], PENALTY)
+        start = 0
+        for end in segments(x[at], penalty):
+            level = x[at[start:end]].mean()
+            if end - start >= SUPPORT:
+                out[at[start] : at[end - 1] + 1] = level
+            else:
+                out[at[start:end]] = level
+            start = end
     return out
 
 
 def reverse_scales(rows: pd.DataFrame) -> pd.DataFrame:
-    """Rows in the order of their sources' histories, with amounts and prices on their true scales."""
+    """Rows in the order of their sources' histories, with amounts and prices on their true scales; context falls out."""
     if not len(rows):
         return pd.DataFrame({"row": rows["row"], "base_unit": rows["base"], "base_amount": np.zeros(0, np.int64), "cent_per_unit": np.zeros(0, np.int64)})
-    blocks = _histories(rows["source"].to_numpy())
+    blocks = _histories(rows)
     content, price = rows["content_log"].to_numpy(float), rows["price_log"].to_numpy(float)
     amount, money = rows["amount"].to_numpy(float).copy(), rows["price"].to_numpy(float)
-    level = _levels(content, blocks)
-    own = np.nan_to_num(content)
-    small = ~np.isnan(level) & (_nearest(np.nan_to_num(level), QUANTITY_FACTORS) == 1) & (_nearest(own, QUANTITY_FACTORS) == 1) & (np.abs(own - QUANTITY_FACTORS[1]) < 0.05)
+    # A row that states no content still shows its scale where its price per unit agrees with its amount.
+    shown = np.where(np.abs(price + QUANTITY_FACTORS[1]) < NEAR, QUANTITY_FACTORS[1], np.where(np.isnan(price), np.nan, 0.0))
+    level = np.nan_to_num(_levels(np.where(np.isnan(content), shown, content), blocks, CONTENT_PENALTY))
+    small = rows["measured"].to_numpy(bool) & (np.abs(level - QUANTITY_FACTORS[1]) < NEAR)
     amount[small] /= 1000
     price = np.where(small, price + QUANTITY_FACTORS[1], price)
-    level = _levels(price, blocks)
-    known = ~np.isnan(level)
-    cents = known & PRICE_IS_CENTS[_nearest(np.nan_to_num(level), PRICE_FACTORS)] & PRICE_IS_CENTS[_nearest(np.nan_to_num(price), PRICE_FACTORS)] & (money == np.floor(money))
+    level = np.nan_to_num(_levels(price, blocks, PRICE_PENALTY))
+    # Prices in cents are whole numbers.
+    cents = PRICE_IS_CENTS[np.abs(level[:, None] - PRICE_FACTORS[None, :]).argmin(axis=1)] & (money == np.floor(money))
     whole = np.floor(amount + 0.5).astype(np.int64)
     pence = np.where(cents, money, np.floor(money * 100 + 0.5)).astype(np.int64)
     per = np.where(rows["base"].to_numpy() == "stueck", 1, 1000).astype(np.int64)
-    ok = whole > 0
+    ok = (whole > 0) & rows["own"].to_numpy(bool)
     unit = (2 * pence * per + whole) // (2 * np.maximum(whole, 1))
     return pd.DataFrame({"row": rows["row"], "base_unit": rows["base"], "base_amount": whole, "cent_per_unit": unit})[ok]
 
@@ -188,18 +213,21 @@ def common_units(df: DataFrame, row: str = "ord") -> DataFrame:
     count); pieces without content count 1 each, containers without are left out, as are rows without a positive
     price or amount. Null or empty texts state nothing. Repeated rows give a row each; an empty table gives none.
     """
-    rows = found_texts(df, row).repartition("source").sortWithinPartitions("source", "at", "row").drop("at")
+    rows = sliced(df, found_texts(df, row)).repartition("source", "slice").sortWithinPartitions("source", "slice", "at", "row").drop("at")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for frame in frames:
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            last = frame["source"].to_numpy()
-            cut = int(np.argmax(last == last[-1])) if len(last) else 0
-            if cut == 0 and len(frame) >= BLOCK:
-                cut = len(frame) // BLOCK * BLOCK
+            source, part = frame["source"].to_numpy(), frame["slice"].to_numpy()
+            cut = int(np.argmax((source == source[-1]) & (part == part[-1]))) if len(frame) else 0
             if cut:
                 yield reverse_scales(read_amounts(frame.iloc[:cut]))
+            elif len(frame) >= 4 * max(BLOCK, CONTEXT):
+                # The last rows wait for those behind them; the ones before are their context.
+                late = np.arange(len(frame)) >= len(frame) - CONTEXT
+                yield reverse_scales(read_amounts(frame.assign(own=frame["own"] & ~late)))
+                frame["own"], cut = frame["own"] & late, len(frame) - 2 * CONTEXT
             rest = frame.iloc[cut:].reset_index(drop=True)
         if rest is not None and len(rest):
             yield reverse_scales(read_amounts(rest))

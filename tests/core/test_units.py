@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+import offerloom.operators.units as units
 from offerloom.operators.changepoints import levels, segments
 from offerloom.operators.units import common_units, read_content, read_unit
 
@@ -74,3 +75,54 @@ def test_changepoints_are_exact(seed):
 def test_readers():
     assert read_unit(" 100 Gramm ") == ("g", 100.0) and read_unit("St.") == ("stueck", 1.0) and read_unit("Kiste")[0] is None and read_unit(None)[0] is None
     assert read_content("12 stück à 0,25 kg") == ("g", 3000.0) and read_content("1.500 g") == ("g", 1500.0) and read_content("5.00 kg") == ("g", 5000.0) and read_content("") == (None, 0.0)
+
+
+def shifted(n, first, last):
+    """kg offers of 2 kg for 20.00, at 10.00 a kilo, in grams from first to before last; every third states nothing else."""
+    out = []
+    for i in range(n):
+        q = 2000.0 if first <= i < last else 2.0
+        out.append(("Lachs", None, "kg", q, 20.0, None) if i % 3 == 1 else ("Lachs 2 kg", None, "kg", q, 20.0, 10.0))
+    return out
+
+
+def test_segments_decide_on_rows_without_evidence(spark):
+    got = run(spark, shifted(120, 42, 70))
+    assert set(got.values()) == {("g", 2000, 1000)}
+    # A lone value on another scale decides on itself only.
+    lone = run(spark, shifted(60, 30, 31))
+    assert set(lone.values()) == {("g", 2000, 1000)}
+    few = [*shifted(12, 0, 0), ("Lachs 2 kg", None, "kg", 2000.0, 20.0, 10.0), ("Lachs", None, "kg", 2000.0, 20.0, None), ("Lachs 2 kg", None, "kg", 2000.0, 20.0, 10.0), *shifted(12, 0, 0)]
+    assert run(spark, few)[13] == ("g", 2_000_000, 1)
+
+
+def test_prices_in_cents_for_a_while(spark):
+    rows = [("Lachs", None, "kg", 2.0, 2000.0 if 30 <= i < 60 else 20.0, None if i % 4 == 1 else 10.0) for i in range(90)]
+    assert set(run(spark, rows).values()) == {("g", 2000, 1000)}
+
+
+def test_small_gram_values(spark):
+    assert run(spark, [("Vanille 20 g", None, "kg", 20.0, 5.0, None)])[0] == ("g", 20, 25000)
+
+
+def test_a_hot_source_is_sliced_with_overlap(spark, monkeypatch):
+    monkeypatch.setattr(units, "BLOCK", 64)
+    rows = shifted(1000, 300, 679)
+    full = [(i, n, d, u, q, p, k, "metro", "t", AT + dt.timedelta(minutes=i), "r", "b") for i, (n, d, u, q, p, k) in enumerate(rows)]
+    df = spark.createDataFrame(full, SCHEMA)
+    parts = units.sliced(df, units.found_texts(df, "ord"))
+    sizes = [r["count"] for r in parts.groupBy("source", "slice").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 100 and parts.where("own").count() == 1000 and parts.count() > 1000
+    out = common_units(df).collect()
+    assert len(out) == 1000 and {(r["base_unit"], r["base_amount"], r["cent_per_unit"]) for r in out} == {("g", 2000, 1000)}
+
+
+def test_many_rows_at_one_time_stream(spark, monkeypatch):
+    monkeypatch.setattr(units, "BLOCK", 16)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        df = spark.createDataFrame([(i, n, d, u, q, p, k, "metro", "t", AT, "r", "b") for i, (n, d, u, q, p, k) in enumerate(shifted(900, 200, 420))], SCHEMA)
+        out = common_units(df).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(out) == 900 and {r["base_amount"] for r in out} == {2000}
