@@ -5,10 +5,11 @@ Nothing about brands, articles or wordings is written down here; all of it is le
 - A word is a brand if it fills the brand field in a larger share of its listings than any other word of these listings.
 - Phrases are what stands between commas, dashes and line ends, or alone in the product field; a listing without such
   marks is cut into known phrases, longest first, then into slips of them.
-- Phrases of the product field are articles. Two articles are wordings of one if the brands that have one have the other.
+- Phrases of the product field are articles. Two are wordings of one article if the brands that have one have the other,
+  and have both in the same content beside the same third phrase.
 - Phrases spread over all articles as chance would spread them, and over the listings of a product too, are advertising.
-- All other phrases tell variants. Two of them are wordings of one variant if they stand in the same blocks (brand,
-  article and content) more often than chance has it; alternatives don't.
+- All other phrases tell variants. Two of them are wordings of one variant if they meet among the listings of a block
+  (brand, article and content) as often as each meets itself; alternatives meet no more often than by chance.
 
 These wordings are the token similarity of a soft alignment. Listings with the same phrases are one class (copies never
 meet each other). Classes are sorted by several keys that order their parts differently, so that a slip at one place
@@ -44,10 +45,12 @@ BESIDE = 4
 #: A phrase on this part of the articles that chance would spread it over is advertising, unless it stands together with
 #: itself in blocks this many times as often as elsewhere in the article.
 SPREAD, RECURS = 0.8, 1.5
-#: Wordings of one article share this part of their brands, and at least TOGETHER of them; those of one variant stand
-#: together in blocks this much (correlation) more often than chance has it, and in at least TOGETHER blocks.
-SAME_ARTICLE, SAME_VARIANT = 0.5, 0.1
-TOGETHER = {"article": 2, "variant": 3}
+#: Wordings of one article share this part of their brands, and this part (cosine) of their blocks of brand, content and
+#: other phrase, and each in at least TOGETHER of them.
+SAME_BRANDS, SAME_ARTICLE, TOGETHER = 0.5, 0.08, 2
+#: Wordings of one variant meet each other among the listings of a block (article, brand, content) more often than chance
+#: has it by this part of what each meets itself by, and by SURE standard deviations.
+SAME_VARIANT, SURE = 0.4, 3.5
 #: Part of a product field's phrases below which a phrase is no article.
 ARTICLE_SHARE = 0.15
 #: A group of more listings than this is paired in several tasks.
@@ -311,17 +314,30 @@ def wordings(pairs: Iterable[tuple[str, str, float]], least: float) -> dict[str,
     return out
 
 
-def learnt_articles(said: DataFrame) -> dict[str, str]:
-    """Each article phrase and the class of its wordings; said has brand, phrase, told (in the product field)."""
-    counts = said.groupBy("phrase").agg(F.count(F.lit(1)).alias("n"), F.count_if("told").alias("p"))
-    articles = counts.where((F.col("p") >= SUPPORT) & (F.col("p") >= ARTICLE_SHARE * F.col("n"))).select("phrase")
-    at = said.where("brand <> ''").join(articles, "phrase").select("brand", "phrase").distinct()
-    size = at.groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
-    pairs = at.select("brand", F.col("phrase").alias("a")).join(at.select("brand", F.col("phrase").alias("b")), "brand").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("both"))
-    pairs = pairs.join(size.select(F.col("phrase").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("phrase").alias("b"), F.col("n").alias("nb")), "b")
-    alike = pairs.select("a", "b", (F.col("both") / F.least("na", "nb")).alias("s"), "both").where((F.col("both") >= TOGETHER["article"]) & (F.col("s") >= SAME_ARTICLE))
+def learnt_articles(phrased: DataFrame) -> dict[str, str]:
+    """Each article phrase and the class of its wordings; phrased as in_phrases gives it.
+
+    Wordings of one article share their brands, and within a brand the blocks of one content and one other phrase, which
+    two articles of one brand don't.
+    """
+    told = phrased.select("field", F.explode("phrases").alias("phrase")).select("phrase", F.array_contains("field", F.col("phrase")).alias("told"))
+    counts = told.groupBy("phrase").agg(F.count(F.lit(1)).alias("n"), F.count_if("told").alias("p"))
+    articles = [r["phrase"] for r in counts.where((F.col("p") >= SUPPORT) & (F.col("p") >= ARTICLE_SHARE * F.col("n"))).select("phrase").collect()]
+    held = with_articles(phrased.where("brand <> ''"), {p: p for p in articles}).where("named <> ''").select("brand", "content", F.explode(F.split("named", r"\+")).alias("phrase"), "others")
+    brands = _together(held.select("brand", "phrase").distinct(), ["brand"]).select("a", "b", F.col("both").alias("brands"), (F.col("both") / F.least("na", "nb")).alias("share"))
+    block = ["brand", "content", "other"]
+    blocks = _together(held.where("content <> ''").select("brand", "content", "phrase", F.explode("others").alias("other")).distinct(), block)
+    alike = brands.where((F.col("brands") >= TOGETHER) & (F.col("share") >= SAME_BRANDS)).join(blocks, ["a", "b"])
+    alike = alike.where(F.col("both") >= TOGETHER).select("a", "b", (F.col("both") / F.sqrt(F.col("na") * F.col("nb"))).alias("s"))
     found = wordings(((r["a"], r["b"], r["s"]) for r in alike.collect()), SAME_ARTICLE)
-    return {r["phrase"]: found.get(r["phrase"], r["phrase"]) for r in articles.collect()}
+    return {p: found.get(p, p) for p in articles}
+
+
+def _together(at: DataFrame, block: list[str]) -> DataFrame:
+    """a, b, both, na, nb: pairs of phrases (a < b) with the blocks that hold both and each; at has each phrase of a block once."""
+    size = at.groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
+    pairs = at.select(*block, F.col("phrase").alias("a")).join(at.select(*block, F.col("phrase").alias("b")), block).where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("both"))
+    return pairs.join(size.select(F.col("phrase").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("phrase").alias("b"), F.col("n").alias("nb")), "b")
 
 
 def with_articles(phrased: DataFrame, articles: dict[str, str]) -> DataFrame:
@@ -358,25 +374,25 @@ def learnt_variants(told: DataFrame) -> dict[str, str]:
     share = held.groupBy("phrase", "article").agg(F.sum("k").alias("n")).join(articles, "article").select("phrase", "article", "n", (F.col("n") / F.col("of")).alias("share"))
     chance = F.aggregate(F.lit([n / sum(listings) for n in listings] or [0.0]), F.lit(0.0), lambda acc, p: acc + 1 - F.pow(1 - p, F.col("n")))
     over = share.groupBy("phrase").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("articles")).withColumn("chance", chance)
-    again = held.where("content <> ''").join(sizes, block).join(share.select("phrase", "article", "share"), ["phrase", "article"])
-    again = again.groupBy("phrase").agg(F.sum(F.col("k") * (F.col("k") - 1)).alias("seen"), F.sum(F.col("k") * (F.col("size") - 1) * F.col("share")).alias("usual"))
+    told_at = held.where("content <> ''").join(sizes, block)
+    each = told_at.groupBy("article", "phrase").agg(F.sum(F.col("k") * (F.col("k") - 1)).alias("seen"), F.sum(F.col("k") * (F.col("size") - 1)).alias("others"))
+    each = each.join(share.select("phrase", "article", "share"), ["article", "phrase"])
+    again = each.groupBy("phrase").agg(F.sum("seen").alias("seen"), F.sum(F.col("others") * F.col("share")).alias("usual"))
     recurs = (F.col("seen") > RECURS * F.col("usual")) & (F.col("seen") > F.col("usual") + 3 * F.sqrt("usual"))
     lasting = over.join(again, "phrase", "left").where((F.col("articles") < SPREAD * F.col("chance")) | (F.col("chance") < 3) | recurs)
-    lasting = told.sparkSession.createDataFrame([(r["phrase"],) for r in lasting.select("phrase").collect()], "phrase string")
-    at = held.where("content <> ''").join(lasting, "phrase", "left_semi").select(*block, "phrase")
-    blocks = at.select(*block).distinct().groupBy("article").agg(F.count(F.lit(1)).alias("blocks"))
-    own = at.groupBy("article", "phrase").agg(F.count(F.lit(1)).alias("n"))
-    side = lambda d, p, n: d.select("article", F.col("phrase").alias(p), F.col("n").alias(n))
-    chance = side(own, "a", "na").join(side(own, "b", "nb"), "article").where("a < b").join(blocks, "article")
-    chance = chance.groupBy("a", "b").agg(F.sum(F.col("na") * F.col("nb") / F.col("blocks")).alias("chance"))
-    both = at.select(*block, F.col("phrase").alias("a")).join(at.select(*block, F.col("phrase").alias("b")), block).where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("both"))
-    size = own.groupBy("phrase").agg(F.sum("n").alias("n"))
-    pairs = chance.join(both, ["a", "b"], "left").join(size.select(F.col("phrase").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("phrase").alias("b"), F.col("n").alias("nb")), "b")
-    more = (F.coalesce("both", F.lit(0)) - F.col("chance")) / F.sqrt(F.col("na") * F.col("nb"))
-    # A pair seen together in too few blocks is no evidence for one wording, only against it.
-    known = pairs.select("a", "b", F.when(F.col("both") >= TOGETHER["variant"], more).otherwise(F.least(more, F.lit(0.0))).alias("s"))
+    more = F.greatest(F.coalesce(F.col("seen") / F.nullif("usual", F.lit(0.0)), F.lit(1.0)) - 1, F.lit(0.1))
+    lasting = told.sparkSession.createDataFrame([tuple(r) for r in lasting.select("phrase", more.alias("more")).collect()], "phrase string, more double")
+    side = lambda p: each.join(lasting, "phrase").select("article", F.col("phrase").alias(p), F.col("others").alias("o" + p), F.col("share").alias("s" + p), F.col("more").alias("m" + p))
+    usual = side("a").join(side("b"), "article").where("a < b").groupBy("a", "b", "ma", "mb").agg(F.sum((F.col("oa") * F.col("sb") + F.col("ob") * F.col("sa")) / 2).alias("usual"))
+    at = held.where("content <> ''").join(lasting, "phrase", "left_semi")
+    both = at.select(*block, F.col("phrase").alias("a"), F.col("k").alias("ka")).join(at.select(*block, F.col("phrase").alias("b"), F.col("k").alias("kb")), block).where("a < b")
+    pairs = usual.join(both.groupBy("a", "b").agg(F.sum(F.col("ka") * F.col("kb")).alias("seen")), ["a", "b"], "left").where("usual > 0")
+    seen = F.coalesce("seen", F.lit(0))
+    likeness, sure = (seen / F.col("usual") - 1) / F.sqrt(F.col("ma") * F.col("mb")), (seen - F.col("usual")) / F.sqrt("usual")
+    # Likeness that may be chance is no evidence; a lack of it is.
+    known = pairs.select("a", "b", likeness.alias("s"), sure.alias("z")).where((F.col("s") < SAME_VARIANT) | (F.col("z") >= SURE))
     found = wordings(((r["a"], r["b"], r["s"]) for r in known.collect()), SAME_VARIANT)
-    return {r["phrase"]: found.get(r["phrase"], r["phrase"]) for r in size.collect()}
+    return {r["phrase"]: found.get(r["phrase"], r["phrase"]) for r in lasting.collect()}
 
 
 def with_variants(told: DataFrame, variants: dict[str, str]) -> DataFrame:
@@ -402,7 +418,7 @@ def understood(read: DataFrame, box: Scratch) -> DataFrame:
     phrases = pieces.select(F.replace("run", F.lit(" "), F.lit("")).alias("run")).where("run <> ''").groupBy("run").agg(F.count(F.lit(1)).alias("n"))
     counts = {r["run"]: r["n"] for r in phrases.where(F.col("n") >= max(SUPPORT, seen["n"] * SHARE)).collect()}
     phrased = box.keep(in_phrases(branded, counts))
-    articles = learnt_articles(phrased.select("brand", F.explode("phrases").alias("phrase"), "field").select("brand", "phrase", F.array_contains("field", F.col("phrase")).alias("told")))
+    articles = learnt_articles(phrased)
     told = box.keep(with_articles(phrased, articles))
     variants = learnt_variants(told)
     return with_variants(told, variants)
