@@ -41,3 +41,12 @@ def distinct_by(values: Column, key) -> Column:
     keyed = F.transform(values, lambda v: F.struct(key(v).alias("k"), v.alias("v")))
     kept = F.filter(keyed, lambda x, i: F.array_position(F.transform(keyed, lambda y: y["k"]), x["k"]) == i + 1)
     return F.transform(kept, lambda x: x["v"])
+
+
+def defaulted(item: Column, defaults: dict[str, Column], allowed: dict[str, list[str]]) -> Column:
+    """A struct's fields with defaults for nulls, and for values that are not among those allowed."""
+    def one(name: str, default: Column) -> Column:
+        value = item[name]
+        return F.coalesce(F.when(value.isin(*allowed[name]), value) if name in allowed else value, default).alias(name)
+
+    return F.struct(*[one(n, d) for n, d in defaults.items()])

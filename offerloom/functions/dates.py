@@ -43,3 +43,9 @@ def short_range(start: Column, end: Column) -> Column:
 def overlaps(start: Column, end: Column, first: Column, last: Column) -> Column:
     """Whether [start, end] meets [first, last]; true where start or end is missing."""
     return start.isNull() | end.isNull() | ((start <= last) & (end >= first))
+
+
+def freshness(day: Column, today: Column) -> Column:
+    """How old a day is: 'week', 'month' or 'year' back from today, 'older', 'future'; null for null."""
+    age = F.datediff(today, day)
+    return F.when(age < 0, "future").when(age <= 7, "week").when(age <= 31, "month").when(age <= 365, "year").when(age.isNotNull(), "older")

@@ -117,3 +117,68 @@ def contains_all(text: Column, wanted: str) -> Column:
     return F.lower(text).contains(wanted.lower())
 
 
+
+
+# Labels of the category codes, in the order in which they are shown.
+CATEGORIES = {"fisch": "Fisch", "fleisch": "Fleisch", "gefluegel": "Geflügel", "obst_gemuese": "Obst & Gemüse", "mopro": "Mopro", "tiefkuehl": "Tiefkühl", "trocken": "Trocken"}
+# Padded words that show an English text.
+ENGLISH = (" the ", " and ", " of ", " with ", " for ", " is ", " are ")
+
+
+def category_label(c: Column) -> Column:
+    """The label of a category code; any other code as title words."""
+    table = F.create_map(*[F.lit(v) for kv in CATEGORIES.items() for v in kv])
+    return F.coalesce(F.try_element_at(table, F.lower(F.trim(c))), title_words(c))
+
+
+def category_rank(c: Column) -> Column:
+    """The place of a category code in the fixed order from 0, unknown ones behind the last."""
+    at = F.array_position(F.lit(list(CATEGORIES)), F.lower(F.trim(c)))
+    return F.when(at > 0, at - 1).otherwise(len(CATEGORIES)).cast("int")
+
+
+def with_brand_line(c: Column, brand: Column, width: int = 30) -> Column:
+    """The wrapped text, and below it the brand where there is one."""
+    return F.concat_ws("\n", F.nullif(wrapped(c, width), F.lit("")), F.when(F.trim(brand) != "", F.concat(F.lit("Brand: "), F.trim(brand), F.lit(","))))
+
+
+def offer_cell(price: Column, unit: Column, origin: Column, start: Column, end: Column, source: Column) -> Column:
+    """The long cell of an offer: labelled lines of what is known, the source as its file name."""
+    known = lambda c: F.when(~F.lower(F.trim(c)).isin("", "unknown", "unbekannt"), F.trim(c))
+    return labelled_lines({"Price": price, "Unit": known(unit), "Origin": known(origin), "Valid": F.nullif(F.concat_ws(" - ", start, end), F.lit("")), "Source": F.substring_index(source, "/", -1)})
+
+
+def verdict(c: Column) -> Column:
+    """struct(verdict, reason) of an answer in free text: its first 'ja' or 'nein', and the next two words behind it."""
+    pattern = r"(?is)^.*?\b(ja|nein)\b[\s:,.;-]*(.*)$"
+    word = F.initcap(F.regexp_extract(c, pattern, 1))
+    rest = F.array_join(F.slice(F.split(F.trim(F.regexp_replace(F.regexp_extract(c, pattern, 2), r"\s+", " ")), " "), 1, 2), " ")
+    return F.struct(F.nullif(word, F.lit("")).alias("verdict"), F.when(word != "", rest).alias("reason"))
+
+
+def signal(c: Column) -> Column:
+    """The first line of a signal text up to ';', without a bullet; white space squeezed, a leading '=' as '±'."""
+    first = F.regexp_extract(F.trim(c), r"^[\s*•-]*([^\n;]*)", 1)
+    return F.regexp_replace(F.trim(F.regexp_replace(first, r"\s+", " ")), r"^=", "±")
+
+
+def looks_english(c: Column) -> Column:
+    """Whether a text holds at least two different English marker words."""
+    padded = F.concat(F.lit(" "), F.lower(F.regexp_replace(c, r"\s+", " ")), F.lit(" "))
+    return F.coalesce(sum([padded.contains(w).cast("int") for w in ENGLISH]) >= 2, F.lit(False))
+
+
+def card(c: Column) -> Column:
+    """struct(title, start, end) of a card's lines: the first line that is neither a date range nor a button, and the two
+    dates of 'dd.mm. - dd.mm.yyyy', which share the year."""
+    lines = F.transform(F.split(c, "\n"), lambda x: F.trim(x))
+    title = F.get(F.filter(lines, lambda x: (x != "") & ~x.rlike(r"^\d{1,2}\.\d{1,2}\.") & ~F.lower(x).isin("aktuell", "vorschau", "jetzt ansehen", "download")), F.lit(0))
+    pattern = r"(\d{1,2})\.(\d{1,2})\.\s*-\s*(\d{1,2})\.(\d{1,2})\.(\d{4})"
+    part = lambda i: F.regexp_extract(c, pattern, i).try_cast("int")
+    day = lambda d, m: F.try_make_timestamp(part(5), part(m), part(d), F.lit(0), F.lit(0), F.lit(0)).cast("date")
+    return F.struct(title.alias("title"), day(1, 2).alias("start"), day(3, 4).alias("end"))
+
+
+def brochure_title(c: Column) -> Column:
+    """Lower case without what stands in brackets, marks as blanks, white space squeezed."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), r"[(\[][^)\]]*[)\]]", " "), r"[^a-z0-9äöüß]+", " "))

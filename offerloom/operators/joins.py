@@ -79,3 +79,21 @@ def upserted(old: DataFrame, new: DataFrame, key: str, columns: list[str], empty
     both = o.join(n, F.col("old_key") == F.col("new_key"), "full_outer").where("gone is null or not gone")
     has = F.col("new_key").isNotNull()
     return both.select(F.coalesce("new_key", "old_key").alias(key), *[F.when(has, F.col(f"new_{i}")).otherwise(F.col(f"old_{i}")).alias(c) for i, c in enumerate(columns)])
+
+
+def cached_or_new(wanted: DataFrame, cache: DataFrame, keys: list[str], value: str, new: Column) -> DataFrame:
+    """wanted with value from the cache (one row a key) where it has one, else new; cached says which."""
+    had = cache.select(*keys, F.col(value).alias("had"))
+    joined = wanted.join(had, keys, "left")
+    return joined.withColumns({value: F.coalesce("had", new), "cached": F.col("had").isNotNull()}).drop("had")
+
+
+def repaired(old: DataFrame, again: DataFrame, source: str) -> DataFrame:
+    """old without the rows of the sources that are in again, and the rows of again (the same columns)."""
+    return old.join(again.select(source).distinct(), source, "left_anti").unionByName(again)
+
+
+def resolved(wanted: DataFrame, there: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Each wanted key with its count from there (0 if it isn't there), and whether it is resolved."""
+    joined = wanted.join(there.select(*keys, count), keys, "left")
+    return joined.select(*keys, F.coalesce(count, F.lit(0)).alias(count), F.col(count).isNotNull().alias("resolved"))

@@ -189,7 +189,7 @@ def usual_origin(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _TFIDF = """
-WITH d AS (SELECT source_row_index AS doc, regexp_extract_all(lower(product_name), '([\\p{L}\\p{N}_]{2,})', 1) AS w FROM enriched_offers WHERE brand <> ''),
+WITH d AS (SELECT source_row_index AS doc, regexp_extract_all(lower(product_name), '([\\p{L}\\p{N}_]{2,})', 1) AS w FROM enriched_offers),
 t AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(w) AS term FROM d UNION ALL
   SELECT doc, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM d) GROUP BY 1, 2),
 f AS (SELECT term, count(*) AS df FROM t GROUP BY 1), n AS (SELECT count(*) AS n FROM d),
@@ -289,6 +289,13 @@ def skip_reasons(spark: SparkSession, folder: str) -> DataFrame:
     return b.groupBy(F.coalesce("skip_reason", F.lit("none")).alias("reason")).agg(F.count(F.lit(1)).alias("n"), F.min_by("title", "brochure_no").alias("example"))
 
 
+@query(f"SELECT brochure_no FROM brochures b WHERE pdf_local_path IS NOT NULL AND NOT EXISTS (SELECT 1 FROM offers o WHERE o.source_file = b.pdf_local_path AND {_USABLE})")
+def brochures_without_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """Brochures of which no offer states a usable price a kilo."""
+    b, o = table(spark, folder, "brochures", "brochure_no", "pdf_local_path"), _usable(table(spark, folder, "offers", "source_file", "price_per_kg"))
+    return b.where("pdf_local_path is not null").join(o, b.pdf_local_path == o.source_file, "left_anti").select("brochure_no")
+
+
 @query("SELECT brochure_no FROM brochures WHERE pdf_local_path NOT IN (SELECT source_file FROM offers WHERE source_file IS NOT NULL)")
 def brochures_without_offers(spark: SparkSession, folder: str) -> DataFrame:
     b, o = table(spark, folder, "brochures", "brochure_no", "pdf_local_path"), table(spark, folder, "offers", "source_file")
@@ -313,7 +320,7 @@ def first_by_url(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
 WITH s AS (SELECT {_S} AS supplier, ord, row_number() OVER (PARTITION BY {_S} ORDER BY price DESC, ord) AS rn FROM offers)
-SELECT row_number() OVER (ORDER BY rn, supplier) AS position, supplier, ord FROM s ORDER BY rn, supplier LIMIT 40""")
+SELECT row_number() OVER (ORDER BY rn, supplier) AS position, supplier, ord FROM s ORDER BY rn, supplier""")
 def interleave_suppliers(spark: SparkSession, folder: str) -> DataFrame:
     o = table(spark, folder, "offers", "ord", "supplier", "price").withColumn("supplier", supplier_key(F.col("supplier")))
     rows = interleaved(o, "supplier", [F.col("price").desc(), F.col("ord")], F.col("supplier"))
@@ -357,7 +364,14 @@ def title_words(spark: SparkSession, folder: str) -> DataFrame:
     return o.groupBy("origin", text.title_words(o.product_name).alias("title")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+_PLAIN = f"trim(regexp_replace(translate(replace(lower({{0}}), 'ß', 'ss'), '{text.MARKED}', '{text.PLAIN}'), '[^a-z0-9]+', ' ', 'g'))"
+_TABLE = f"map({list(text.COUNTRY_CODES)}, {list(text.COUNTRY_CODES.values())})"
+
+
+@query(f"""
+WITH p AS (SELECT origin, count(*) AS n, list_filter(regexp_split_to_array(coalesce(origin, ''), '{text.COUNTRY_SEPARATOR}'), lambda x: trim(x) <> '') AS parts FROM offers GROUP BY origin),
+c AS (SELECT origin, n, list_transform(parts, lambda x: CASE WHEN regexp_full_match(trim(x), '[A-Za-z]{{2}}') THEN upper(trim(x)) ELSE coalesce({_TABLE}[{_PLAIN.format('x')}], trim(x)) END) AS codes FROM p)
+SELECT origin, n, array_to_string(list_filter(codes, lambda x, i: list_position(codes, x) = i), ', ') AS codes FROM c""")
 def origin_codes(spark: SparkSession, folder: str) -> DataFrame:
     o = table(spark, folder, "offers", "origin")
     return o.groupBy("origin").agg(F.count(F.lit(1)).alias("n")).withColumn("codes", text.country_codes(F.col("origin")))

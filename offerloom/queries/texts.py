@@ -64,7 +64,7 @@ def marks_join(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
 WITH o AS {_LAST.replace('doc_reviews', '(SELECT * FROM doc_reviews WHERE review_no % 2 = 0)')}, n AS {_LAST.replace('doc_reviews', '(SELECT * FROM doc_reviews WHERE review_no % 2 = 1)')}
 SELECT coalesce(n.doc_id, o.doc_id) AS doc_id, CASE WHEN n.doc_id IS NOT NULL THEN n.label ELSE o.label END AS label FROM o FULL JOIN n USING (doc_id)
-WHERE n.doc_id IS NULL OR n.label <> 'ok'""".replace("(SELECT doc_id", "(SELECT doc_id"))
+WHERE n.doc_id IS NULL OR n.label <> 'ok'""")
 def marks_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Half of the reviews as old marks, the other half as updates; an 'ok' deletes the mark."""
     r = table(spark, folder, "doc_reviews", "review_no", "doc_id", "label")
@@ -123,7 +123,14 @@ def url_keys(spark: SparkSession, folder: str) -> DataFrame:
     return b.groupBy(text.url_key(b.download_url).alias("url")).agg(F.count(F.lit(1)).alias("n"), F.min("brochure_no").alias("first"))
 
 
-@query()
+@query(r"""
+WITH RECURSIVE b AS (SELECT brochure_no, supplier || '/' || location AS list, regexp_replace(regexp_replace(lower(trim(download_url)), '[?#].*$', ''), '/+$', '') AS url,
+  trim(regexp_replace(replace(lower(coalesce(title, '')), 'ß', 'ss'), '[^a-z0-9äöü]+', ' ', 'g')) AS title FROM (SELECT brochure_no, supplier, coalesce(location, '') AS location, title, download_url FROM brochures)),
+o AS (SELECT *, row_number() OVER (PARTITION BY list ORDER BY brochure_no) AS rn FROM b),
+r AS (SELECT list, rn, brochure_no, true AS kept, [coalesce('u' || url, ''), 't' || title] AS seen FROM o WHERE rn = 1
+  UNION ALL SELECT o.list, o.rn, o.brochure_no, NOT k, CASE WHEN k THEN r.seen ELSE list_concat(r.seen, [coalesce('u' || url, ''), 't' || title]) END
+  FROM r JOIN o ON o.list = r.list AND o.rn = r.rn + 1, LATERAL (SELECT coalesce(list_contains(r.seen, 'u' || url), false) OR list_contains(r.seen, 't' || title) AS k))
+SELECT brochure_no, list, url, title FROM r JOIN o USING (list, rn, brochure_no) WHERE kept""")
 def greedy_url_or_title(spark: SparkSession, folder: str) -> DataFrame:
     """Brochures of each supplier and location in order, without those whose url or title a kept one has."""
     b = table(spark, folder, "brochures", "brochure_no", "supplier", "location", "title", "download_url")
@@ -132,8 +139,8 @@ def greedy_url_or_title(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT doc_id, upper(left(t, 1)) || substr(t, 2) AS title, trim(both '_' FROM regexp_replace(replace(replace(replace(replace(lower(coalesce(t, '')), 'ß', 'ss'), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), '[^a-z0-9]+', '_', 'g')) AS slug
-FROM (SELECT doc_id, split_part(title, ' ', 1) AS t FROM documents WHERE title <> '' AND title IS NOT NULL)""")
+SELECT doc_id, array_to_string(list_transform(string_split(t, ' '), lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') AS title, trim(both '_' FROM regexp_replace(replace(replace(replace(replace(lower(coalesce(t, '')), 'ß', 'ss'), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), '[^a-z0-9]+', '_', 'g')) AS slug
+FROM (SELECT doc_id, title AS t FROM documents WHERE title <> '' AND title IS NOT NULL)""")
 def title_slugs(spark: SparkSession, folder: str) -> DataFrame:
     d = table(spark, folder, "documents", "doc_id", "title").where("title <> ''")
     return d.select("doc_id", text.title_first(d.title).alias("title"), text.slug(d.title, "").alias("slug"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import json
 import re
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import parse_tiers
 from ..functions.dates import parse_date
 from ..functions.numbers import parse_decimal
+from ..session import shared_dir
 
 # The columns of an offer file, and those that enrichment adds.
 OFFER_COLUMNS = (
@@ -75,7 +77,10 @@ def preview_entries(pages: DataFrame, page: str, text: str) -> DataFrame:
 
 
 def json_ld_offers(pages: DataFrame, page: str, text: str) -> DataFrame:
-    """page, name, price, currency of the products in a page's JSON-LD blocks, single, listed or in a graph."""
+    """page, name, price, currency of the products and single offers in a page's JSON-LD blocks, listed or in a graph.
+
+    An offer without a name takes that of the item offered.
+    """
     block = re.compile(r"<script[^>]*application/ld\+json[^>]*>(.*?)</script>", re.S | re.I)
 
     def products(node) -> Iterator[tuple]:
@@ -88,6 +93,10 @@ def json_ld_offers(pages: DataFrame, page: str, text: str) -> DataFrame:
                 offer = (offer[0] if offer else {}) if isinstance(offer, list) else offer
                 price = str(offer.get("price", offer.get("lowPrice", ""))).replace(",", ".")
                 yield node.get("name"), float(price) if re.fullmatch(r"\d+(\.\d+)?", price) else None, offer.get("priceCurrency")
+            elif node.get("@type") == "Offer":
+                item = node.get("itemOffered")
+                price = str(node.get("price", node.get("lowPrice", ""))).replace(",", ".")
+                yield node.get("name") or (item.get("name") if isinstance(item, dict) else None), float(price) if re.fullmatch(r"\d+(\.\d+)?", price) else None, node.get("priceCurrency")
             for k in ("@graph", "itemListElement", "item"):
                 if k in node:
                     yield from products(node[k])
@@ -153,3 +162,70 @@ def write_partitioned(df: DataFrame, path: str, *by: str) -> None:
     """Parquet by supplier, year and week (or as named); rows without one of them are not written."""
     keys = by or ("supplier", "year", "calendar_week")
     df.where(" and ".join(f"{k} is not null" for k in keys)).write.mode("overwrite").partitionBy(*keys).parquet(path)
+
+
+def append_lines(df: DataFrame, path: str) -> None:
+    """JSON lines added to those that are there."""
+    df.write.mode("append").json(path)
+
+
+def replace_atomically(df: DataFrame, path: str) -> None:
+    """Parquet written beside its place and then renamed into it: readers see the old table or the new one.
+
+    df may read the old table, which is deleted only when the new one is whole.
+    """
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    there, new, old = (jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + end) for end in ("", ".new", ".old"))
+    df.write.mode("overwrite").parquet(str(new))
+    fs = there.getFileSystem(conf)
+    fs.delete(old, True)
+    if fs.exists(there) and not fs.rename(there, old):
+        raise OSError(f"{path} can't be moved")
+    if not fs.rename(new, there):
+        fs.rename(old, there)
+        raise OSError(f"{path} can't be replaced")
+    fs.delete(old, True)
+
+
+def existing(spark: SparkSession, *paths: str) -> str | None:
+    """The first of several paths that is there: the canonical one, then older layouts; None if none is."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        at = jvm.org.apache.hadoop.fs.Path(p)
+        if at.getFileSystem(conf).exists(at):
+            return p
+    return None
+
+
+def latest(files: DataFrame) -> DataFrame:
+    """The path changed last of a listing with path and modificationTime (a binaryFile scan); the last one by name of equals."""
+    return files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
+
+
+def round_trip(offers: DataFrame) -> DataFrame:
+    """ord and some columns of offers written as CSV and read again."""
+    path = f"{shared_dir(offers.sparkSession)}/offers-csv-{uuid.uuid4().hex}"
+    plain = offers.select(*[(F.col("ord").cast("string") if c == "location" else F.initcap(F.col(c).cast("string")) if c == "price_is_net" else F.col(c)).alias(c) for c in OFFER_COLUMNS])
+    write_strings(plain, path)
+    back = typed_offers(read_strings(offers.sparkSession, path, OFFER_COLUMNS))
+    return back.select(F.col("location").cast("bigint").alias("ord"), "supplier", "product_name", "quantity", "price", "price_is_net", "valid_from", "calendar_week")
+
+
+def appended_twice(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """rows appended as JSON lines in two batches, lower half of the order first, and read again by key."""
+    spark = rows.sparkSession
+    path = f"{shared_dir(spark)}/lines-{uuid.uuid4().hex}"
+    for half in (0, 1):
+        append_lines(rows.where(F.pmod(order, F.lit(2)) == half), path)
+    schema = ", ".join(f"{c} {k}" for c, k in rows.dtypes)
+    parsed = spark.read.schema(schema).json(path)
+    return parsed.groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c != key]), order).alias("r")).select(key, "r.*")
+
+
+def partition_counts(offers: DataFrame) -> DataFrame:
+    """Offers written by supplier, year and calendar_week, and counted by folder: only footers are read."""
+    path = f"{shared_dir(offers.sparkSession)}/partitions-{uuid.uuid4().hex}"
+    write_partitioned(offers.repartition("supplier", "year", "calendar_week"), path)
+    back = offers.sparkSession.read.parquet(path)
+    return back.groupBy("supplier", "year", F.col("calendar_week").alias("week")).agg(F.count(F.lit(1)).alias("offers"))
