@@ -15,6 +15,30 @@ def small(df: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+#: A key on more rows than this is hot; its rows are dealt to one task for each so many.
+HOT_ROWS = 100_000
+
+
+def hot_keys(rows: DataFrame, key: str, limit: int | None = None) -> DataFrame:
+    """key, deals: the keys of more than limit rows (at most rows / limit of them) and the tasks each is dealt to."""
+    limit = limit or HOT_ROWS
+    n = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
+    return n.select(key, F.ceil(F.col("__n") / limit).cast("int").alias("deals"))
+
+
+def looked_up(rows: DataFrame, key: str, names: DataFrame, hot: DataFrame | None, *by: str) -> DataFrame:
+    """rows joined with names (one row a key); the rows of hot keys are dealt by the hash of by, their names repeated.
+
+    hot is as hot_keys gives it and is broadcast: it has at most rows / limit keys. None stands for no hot key.
+    """
+    if hot is None:
+        return rows.join(names, key)
+    some = F.broadcast(hot.select(key, "deals"))
+    left = rows.join(some, key, "left").withColumn("__deal", F.coalesce(F.pmod(F.xxhash64(*by), F.col("deals")).cast("int"), F.lit(0))).drop("deals")
+    right = names.join(some, key, "left").withColumn("__deal", F.explode(F.sequence(F.lit(0), F.coalesce("deals", F.lit(1)) - 1))).drop("deals")
+    return left.join(right, [key, "__deal"]).drop("__deal")
+
+
 def containment_join(texts: DataFrame, text: str, keywords: DataFrame, keyword: str, value: str) -> DataFrame:
     """text, value: for each text the value of the longest keyword that it holds or that holds it.
 

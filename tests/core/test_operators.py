@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+import offerloom.operators.joins as joins
 from offerloom.operators.documents import failed_keys, first_by_content, greedy_distinct, log_events
 from offerloom.operators.graph import clusters
 from offerloom.operators.joins import containment_join, fuzzy_best, token_sort_ratio, upserted, with_marks
@@ -54,6 +55,18 @@ def test_clusters(spark):
     assert rows(clusters(spark.createDataFrame(edges, "a string, b string"), "a", "b")) == want
 
 
+def test_hot_keys_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 10)
+    edges = [("hub", f"s{i:03}") for i in range(70)] + [(f"p{i:03}", f"p{i + 1:03}") for i in range(40)] + [("x", "y")]
+    got = dict(rows(clusters(spark.createDataFrame(edges, "a string, b string"), "a", "b")))
+    assert {got[f"s{i:03}"] for i in range(70)} == {"hub"} and {got[f"p{i:03}"] for i in range(41)} == {"p000"} and got["y"] == "x" and len(got) == 114
+    df = spark.createDataFrame([("h", i) for i in range(95)] + [("c", 0)], "k string, v int")
+    hot = joins.hot_keys(df, "k")
+    assert rows(hot) == [("h", 10)]
+    out = joins.looked_up(df, "k", spark.createDataFrame([("h", 1), ("c", 2), ("z", 3)], "k string, n int"), hot, "v")
+    assert out.columns == ["k", "v", "n"] and rows(out) == sorted([("h", i, 1) for i in range(95)] + [("c", 0, 2)])
+
+
 def test_documents(spark):
     d = spark.createDataFrame([(1, "a"), (2, None), (3, "a"), (4, "2026-01-01 ERROR extract metro/2026/29 seite_032 failed after 1 attempts\n{\"timestamp\": \"t\", \"level\": \"INFO\", \"duration_ms\": 5}\n{broken")], "i bigint, t string")
     assert [(r["i"], r["copies"]) for r in first_by_content(d, "i", "t").orderBy("i").collect()] == [(1, 2), (4, 1)]
