@@ -6,9 +6,9 @@ constant factor a round whatever the shape, so long chains take as few rounds as
 expanded from the last to the first, each join no larger than its round.
 
 Skew: a hub's edges are reduced by min_by, which combines map-side, and after one round most of them are duplicates.
-The relabelling joins have one mapping row for each vertex. Edges of a vertex with more than HOT_DEGREE of them are
-spread over SALTS tasks; such vertices number at most twice the edges divided by HOT_DEGREE, which bounds their
-broadcast (a billion edges: 20,000 ids).
+Joins look up one mapping row for each vertex. The edges of a vertex with more than HOT_DEGREE of them, the vertices that
+hook to it, and the members of a large group are dealt to several tasks; such vertices number at most twice the edges
+divided by HOT_DEGREE, which bounds their broadcast (a billion edges: 20,000 ids).
 """
 
 from __future__ import annotations
@@ -16,23 +16,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import looked_up
 from ..session import Scratch
 
-#: A vertex with more edges than this is hot: its edges go to SALTS tasks.
-HOT_DEGREE, SALTS = 100_000, 32
+#: A vertex with more edges, or a group with more members, than this is hot: they go to one task for each so many.
+HOT_DEGREE = 100_000
 
 
 def _relabel(edges: DataFrame, mapping: DataFrame, column: str, hot: DataFrame | None) -> DataFrame:
-    """edges with column replaced by its representative; the edges of hot vertices are salted."""
+    """edges with column replaced by its representative."""
     names = mapping.select(F.col("vertex").alias(column), "rep")
-    if hot is None:
-        return edges.join(names, column).drop(column).withColumnRenamed("rep", column)
-    some = F.broadcast(hot.select(F.col("vertex").alias(column), F.lit(True).alias("hot")))
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("a", "b"), F.lit(SALTS)).cast("int")).otherwise(0)
-    left = edges.join(some, column, "left").withColumn("salt", salt).drop("hot")
-    every = F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt")
-    right = names.join(some, column, "left").select(column, "rep", every)
-    return left.join(right, [column, "salt"]).drop(column, "salt").withColumnRenamed("rep", column)
+    some = None if hot is None else hot.withColumnRenamed("vertex", column)
+    return looked_up(edges, column, names, some, "a", "b").drop(column).withColumnRenamed("rep", column)
 
 
 def linked_groups(pairs: DataFrame, left: str, right: str, seed: int = 7) -> DataFrame:
@@ -45,23 +40,30 @@ def linked_groups(pairs: DataFrame, left: str, right: str, seed: int = 7) -> Dat
     a, b = F.col(f"`{left}`").cast("string"), F.col(f"`{right}`").cast("string")
     one = F.count(F.lit(1))
     edges, seen = box.measured(pairs.where(a != b).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), n=one)
-    rounds: list[DataFrame] = []
+    rounds: list[tuple[DataFrame, DataFrame | None]] = []
     while seen["n"]:
         order = lambda c, r=len(rounds): F.struct(F.xxhash64(F.lit(seed + r), c).alias("h"), c.alias("v"))
         ends = F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("o")), F.struct(F.col("b").alias("v"), F.col("a").alias("o")))).alias("e")
         near = edges.select(ends).groupBy(F.col("e.v").alias("vertex")).agg(F.min(order(F.col("e.o"))).alias("first"), F.count(F.lit(1)).alias("degree"))
         mapping, top = box.measured(near.select("vertex", F.least("first", order(F.col("vertex")))["v"].alias("rep"), "degree"), degree=F.max("degree"))
-        rounds.append(mapping)
-        hot = mapping.where(F.col("degree") > HOT_DEGREE).select("vertex") if top["degree"] > HOT_DEGREE else None
+        deals = F.ceil(F.col("degree") / HOT_DEGREE).cast("int").alias("deals")
+        hot = mapping.where(F.col("degree") > HOT_DEGREE).select("vertex", deals) if top["degree"] > HOT_DEGREE else None
+        rounds.append((mapping, hot))
         moved = _relabel(_relabel(edges, mapping, "a", hot), mapping, "b", hot).where("a != b")
         after, seen = box.measured(moved.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), n=one)
         box.drop(edges)
         edges = after
     if not rounds:
         return edges.select(F.col("a").alias("id"), F.col("b").alias("group_id"))
-    final = rounds.pop().select("vertex", "rep")
+    final = rounds.pop()[0].select("vertex", "rep")
     while rounds:
-        later = final.select(F.col("vertex").alias("rep"), F.col("rep").alias("end"))
-        final = box.keep(rounds.pop().join(later, "rep", "left").select("vertex", F.coalesce("end", "rep").alias("rep")))
-    smallest = final.groupBy("rep").agg(F.min("vertex").alias("group_id"))
-    return final.join(smallest, "rep").select(F.col("vertex").alias("id"), "group_id")
+        mapping, hot = rounds.pop()
+        # A representative without a further mapping keeps itself; what hooks to a vertex are neighbours of it.
+        own = mapping.select("rep").distinct().join(final.select(F.col("vertex").alias("rep"), F.col("rep").alias("end")), "rep", "left").select("rep", F.coalesce("end", "rep").alias("end"))
+        after = box.keep(looked_up(mapping.select("vertex", "rep"), "rep", own, hot and hot.withColumnRenamed("vertex", "rep"), "vertex").select("vertex", F.col("end").alias("rep")))
+        box.drop(mapping)
+        final = after
+    groups = box.keep(final.groupBy("rep").agg(F.min("vertex").alias("group_id"), F.count(F.lit(1)).alias("n")))
+    large = groups.where(F.col("n") > HOT_DEGREE).select("rep", F.ceil(F.col("n") / HOT_DEGREE).cast("int").alias("deals"))
+    out = looked_up(final, "rep", groups.select("rep", "group_id"), None if large.isEmpty() else large, "vertex")
+    return out.select(F.col("vertex").alias("id"), "group_id")
