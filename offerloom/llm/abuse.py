@@ -6,8 +6,9 @@ The restored statements are scored by a logistic model of words and word pairs.
 documents: which statement of a labelled document is meant is learnt in a few rounds of multiple-instance training,
 which also sets aside labels that everything else speaks against. A document's score is that of its worst statement.
 
-The corpus is read for the character counts (one histogram a task) and once more for the scores; it is not shuffled.
-Labels are joined to their documents, of which at most SAMPLE, picked by hash, reach the driver.
+The corpus is read for the character counts and for the document frequencies of what the abusive documents say (a
+histogram a task each), and once more for the scores; it is not shuffled. Labels are joined to their documents, of which
+at most SAMPLE with SAMPLE_CHARS characters in all, picked by hash, reach the driver; nothing else is sampled.
 """
 
 from __future__ import annotations
@@ -16,19 +17,20 @@ import math
 import re
 import unicodedata
 import uuid
+import warnings
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import spread
 
-#: Most labelled documents, and unlabelled ones as background, that the model is fitted on.
-SAMPLE, BACKGROUND = 12_000, 6_000
+#: Most labelled documents that the model is fitted on, and most characters of them.
+SAMPLE, SAMPLE_CHARS = 12_000, 64_000_000
 THRESHOLD = 0.6
 ROUNDS, STEPS, RIDGE = 5, 120, 2.0
 #: A statement this much (log) less telling than the usual abusive one is never taken for the meant one.
@@ -57,7 +59,9 @@ disabled women woman trans arabs africans asians mexicans gypsies musulmans juif
 """
 ADDRESS = "du dich dir dein deine deinem deiner deinen ihr euch euer eure you your yours u ur tu te toi ton ta tes vous ti tuo tua"
 
-_letters = str.maketrans({"ä": "a", "ö": "o", "ü": "u", "ß": "ss", "é": "e", "è": "e", "á": "a", "à": "a", "â": "a", "ê": "e", "ç": "c", "ñ": "n", "ó": "o", "í": "i", "ú": "u", "ô": "o", "î": "i", "û": "u", "ï": "i", "ı": "i"})
+_letters = str.maketrans({"ä": "a", "ö": "o", "ü": "u", "ß": "ss", "é": "e", "è": "e", "á": "a", "à": "a", "â": "a", "ê": "e", "ç": "c", "ñ": "n", "ó": "o", "í": "i", "ú": "u", "ô": "o", "î": "i", "û": "u", "ï": "i", "ı": "i", "ł": "l", "ą": "a", "ę": "e", "ć": "c", "ń": "n", "ś": "s", "ź": "z", "ż": "z", "č": "c", "š": "s", "ž": "z", "ř": "r", "ě": "e", "ğ": "g", "ş": "s", "ø": "o", "å": "a", "æ": "ae", "œ": "oe", "ã": "a", "õ": "o", "ì": "i", "ò": "o", "ù": "u"})
+# Letters of other scripts that look like Latin ones.
+ALIKE = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "х": "x", "у": "y", "і": "i", "ѕ": "s", "ј": "j", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "α": "a", "ο": "o", "ε": "e", "ι": "i", "ν": "v", "ρ": "p", "τ": "t", "υ": "u", "κ": "k"}
 _words = {"lex": frozenset(INSULTS.split()), "grp": frozenset(GROUPS.split()), "you": frozenset(ADDRESS.split())}
 _split = re.compile(r"(?<=[.!?…])\s+|[\r\n]+")
 _gone = re.compile("[­​-‏⁠﻿]")
@@ -65,6 +69,7 @@ _spaced = re.compile(r"(?<!\S)(?:\w ){2,}\w(?![^\s.!?,;])")
 _dotted = re.compile(r"(?<!\w)\w(?:[.\-_*·~'’,]{1,2}\w){2,}(?!\w)")
 _repeat = re.compile(r"([^\W\d_])\1{2,}")
 _mixed = re.compile(r"(?<![\w@$!|+€£(*#])(?=[\w@$!|+€£(*#]*[a-z])(?=[\w@$!|+€£(*#]*[013-9@$!|+€£(*#])[\w@$!|+€£(*#]{3,}")
+_scripts = re.compile(rf"(?=\w*[a-z])(?=\w*[{''.join(ALIKE)}])[\w]+")
 _key = re.compile(r"(?=[a-f]*\d)[0-9a-f]{8,}")
 _amount = re.compile(r"\d+(?:[xt]\d+)*[a-z]{0,3}")
 _digraph = re.compile(r"([aou])e")
@@ -120,7 +125,7 @@ class Channel:
     def lattice(word: str) -> list[list[tuple[str, float]]]:
         """For each sign, or run of one letter, what may have been meant and what that costs."""
         out, i = [], 0
-        dotted = bool(_dotted.fullmatch(word))
+        dotted, latin = bool(_dotted.fullmatch(word)), any("a" <= c <= "z" for c in word)
         while i < len(word):
             c, j = word[i], i + 1
             while j < len(word) and word[j] == c and c.isalpha():
@@ -129,6 +134,10 @@ class Channel:
                 out.append([(c, 0.0)] if j - i == 1 else [(c, 1.5), (c + c, 0.0)] if j - i == 2 else [(c, 0.2), (c + c, 0.4)])
             elif c in LEET and not (dotted and c == "*"):
                 out.append([(x, 0.5 if c != "*" else 1.0) for x in LEET[c]] + ([("", 0.7)] if c in "!*(|#+" else []))
+            elif c in ALIKE and latin:
+                out.append([(ALIKE[c], 0.2)])
+            elif c.isalpha():
+                out.append([(c, 0.0)])
             else:
                 out.append([("", 0.1)])
             i = j
@@ -155,7 +164,7 @@ class Channel:
                     for add, extra in choices:
                         x, y, total = a, b, cost + extra
                         for ch in add:
-                            k = ord(ch) - 96
+                            k = ord(ch) - 96 if "a" <= ch <= "z" else 0
                             total += self.cost[x][y][k]
                             x, y = y, k
                         after[x, y].append((total, text + add))
@@ -174,6 +183,8 @@ class Channel:
         s = _dotted.sub(fix, s)
         if _repeat.search(s):
             s = re.sub(r"[^\W\d_]*([^\W\d_])\1{2,}[^\W\d_]*", fix, s)
+        if not s.isascii():
+            s = _scripts.sub(fix, s)
         return _mixed.sub(lambda m: m[0] if _amount.fullmatch(m[0]) or _key.fullmatch(m[0]) else self.restore(m[0], either=True), s)
 
 
@@ -205,33 +216,42 @@ class Scorer:
         return max((self.statement(self.channel.mend(s)) for s in _split.split(folded(text or "")) if s.strip()), default=0.0)
 
 
-def fit(texts: list[str], labels: list[int | None], channel: Channel) -> Scorer:
-    """Multiple-instance logistic regression on documents labelled 0 or 1, with unlabelled ones (None) as background.
+def statements(text: str, channel: Channel) -> Iterator[list[str]]:
+    """The features of each statement of a text."""
+    for s in _split.split(folded(text)):
+        if s.strip():
+            yield features(channel.mend(s))
 
-    Statements of abusive documents are first ranked by how much likelier their words and pairs are there than in all
-    other documents (abuse is rare, so what is common in the background can't be meant); the top one starts as the
-    positive case. Rounds of training then move labels between statements: background and fine statements that the
-    model finds abusive, and abusive documents without any such statement, are set aside.
+
+def fit(texts: list[str], labels: list[int], channel: Channel, frequencies: dict[str, int], documents: int) -> Scorer:
+    """Multiple-instance logistic regression on documents labelled 0 or 1.
+
+    Statements of abusive documents are first ranked by how much likelier their words and pairs are there than in the whole
+    corpus (frequencies: documents of all that hold a feature; abuse is rare, so what is common can't be meant); the top
+    one starts as the positive case. Rounds of training then move labels between statements: fine statements that the
+    model finds abusive, and abusive documents without any such statement, are set aside. Without both kinds of labels
+    nothing can be learnt: a warning is given, and every score is near 0.
     """
-    kind = np.array([2 if x is None else x for x in labels], dtype=np.int64)
+    kind = np.array(labels, dtype=np.int64)
     abusive = int((kind == 1).sum())
     if not abusive or abusive == len(kind):
-        return Scorer({"<lex>": 8.0, "<grp&lex>": 4.0, "<lex&you>": 4.0}, -4.0, channel)
+        warnings.warn("no abusive or no fine documents are labelled: nothing is learnt, all scores are near 0", stacklevel=2)
+        return Scorer({}, -30.0, channel)
     names: dict[str, int] = {}
     flat, sizes, own = array("i"), array("i"), array("i")
     for d, text in enumerate(texts):
-        for s in _split.split(folded(text)):
-            if s.strip():
-                f = features(channel.mend(s))
-                flat.extend([names.setdefault(x, len(names)) for x in f])
-                sizes.append(len(f))
-                own.append(d)
+        for f in statements(text, channel):
+            flat.extend([names.setdefault(x, len(names)) for x in f])
+            sizes.append(len(f))
+            own.append(d)
     every, size, own = np.frombuffer(flat, dtype=np.int32), np.array(sizes, dtype=float), np.array(own)
     n, at = len(own), np.repeat(np.arange(len(own)), size.astype(np.int64))
     once = np.unique(own[at].astype(np.int64) * len(names) + every)
     total = np.bincount(once % len(names), minlength=len(names))
     inside = np.bincount((once % len(names))[kind[once // len(names)] == 1], minlength=len(names))
-    lift = np.log((inside + 0.1) / (abusive + 1) / ((total + 1) / (len(kind) + 1)))
+    # What no abusive document says isn't counted over the corpus; the labelled documents stand for it.
+    every_doc = np.array([frequencies.get(x, total[i] * documents / len(kind)) for x, i in names.items()], dtype=float)
+    lift = np.log((inside + 0.1) / (abusive + 1) / ((every_doc + 1) / (documents + 1)))
     rows, cols = at[total[every] > 1], every[total[every] > 1]
     kinds, value = kind[own], 1.0 / np.sqrt(size + 1.0)
     found = np.bincount(rows, minlength=n)
@@ -246,7 +266,6 @@ def fit(texts: list[str], labels: list[int | None], channel: Channel) -> Scorer:
     usual = np.median(rank[target == 1]) if target.any() else 0.0
     telling = rank > usual - SLACK
     weight = np.where(target == 1, 1.0, np.where(kinds == 1, 0.0, 1.0))
-    weight[(kinds == 2) & telling] = 0.0
     w, b = np.zeros(len(names)), 0.0
     p = np.zeros(n)
     for turn in range(ROUNDS):
@@ -262,9 +281,6 @@ def fit(texts: list[str], labels: list[int | None], channel: Channel) -> Scorer:
         target = ((kinds == 1) & telling & ((p >= 0.5) | ((p >= top) & (top >= 0.15)))).astype(float)
         weight = np.ones(n)
         weight[(kinds == 1) & (target == 0)] = np.where(p[(kinds == 1) & (target == 0)] < 0.2, 0.3, 0.0)
-        weight[(kinds == 2) & (p > 0.3) & telling] = 0.0
-        sure = (kinds == 2) & (p > 0.7) & telling
-        target[sure], weight[sure] = 1.0, 0.5
         weight[(kinds == 0) & (p > (0.9 if turn > 1 else 1.1)) & telling] = 0.0
     return Scorer({x: float(w[i]) for x, i in names.items() if abs(w[i]) > 1e-3}, float(b), channel)
 
@@ -287,19 +303,56 @@ def char_counts(texts: DataFrame) -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, doc: str, text: str, reviews: DataFrame, review_doc: str, label: str, fine: str = "ok", sample: int = SAMPLE, background: int = BACKGROUND) -> Scorer:
+def document_frequencies(texts: DataFrame, channel: Channel, wanted: set[str]) -> tuple[dict[str, int], int]:
+    """Documents that hold each of the wanted features, over all texts (one column), and the number of texts.
+
+    wanted comes from the labelled sample, which bounds it, each task's histogram and what is collected.
+    """
+    names = sorted(wanted)
+    shared, mark = texts.sparkSession.sparkContext.broadcast((names, channel.cost, channel.known)), uuid.uuid4().hex
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if mark not in _scorers:
+            names, cost, known = shared.value
+            _scorers.clear()
+            _scorers[mark] = {x: i for i, x in enumerate(names)}, _channel(cost, known)
+        at, coder = _scorers[mark]
+        total = np.zeros(len(at) + 1, dtype=np.int64)
+        for frame in frames:
+            for t in frame.iloc[:, 0]:
+                total[-1] += 1
+                if t:
+                    held = {i for f in statements(t, coder) for x in f if (i := at.get(x)) is not None}
+                    total[list(held)] += 1
+        some = np.flatnonzero(total)
+        yield pd.DataFrame({"at": some, "n": total[some]})
+
+    found = {r["at"]: r["n"] for r in spread(texts).mapInPandas(count, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect()}
+    return {x: found.get(i, 0) for i, x in enumerate(names)}, found.get(len(names), 0)
+
+
+def _channel(cost: list, known: frozenset[str]) -> Channel:
+    out = Channel.__new__(Channel)
+    out.cost, out.known, out.seen = cost, known, {}
+    return out
+
+
+def train(docs: DataFrame, doc: str, text: str, reviews: DataFrame, review_doc: str, label: str, fine: str = "ok", sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Scorer:
     """A scorer from the labels: a document counts as abusive if more of its labels say so than say it is fine."""
     bad = F.sum(F.when(F.col(f"`{label}`") != fine, 1).otherwise(-1))
     voted = reviews.where(F.col(f"`{review_doc}`").isNotNull() & F.col(f"`{label}`").isNotNull()).groupBy(F.col(f"`{review_doc}`").alias("d")).agg(bad.alias("v"))
     picked = voted.where("v <> 0").orderBy(F.xxhash64("d"), "d").limit(sample)
     rows = docs.select(F.col(f"`{doc}`").alias("d"), F.col(f"`{text}`").alias("t")).where("t is not null")
-    labelled = [(r["t"], int(r["v"] > 0)) for r in rows.join(picked, "d").select("t", "v").collect()]
-    labelled = sorted(labelled)
-    plain = sorted(r["t"] for r in rows.join(voted, "d", "left_anti").orderBy(F.xxhash64("d"), "d").limit(background).collect())
+    # The sample's lengths add up in hash order, over at most sample rows.
+    chars = F.sum(F.length("t").cast("long")).over(Window.partitionBy(F.lit(0)).orderBy(F.xxhash64("d"), "d", "t").rowsBetween(Window.unboundedPreceding, 0))
+    labelled = sorted((r["t"], int(r["v"] > 0)) for r in rows.join(picked, "d").withColumn("chars", chars).where(F.col("chars") <= sample_chars).select("t", "v").collect())
     seen = Counter(w for t, _ in labelled for w in set(re.findall(r"[a-z]+", _digraph.sub(r"\1", folded(t)))))
     known = frozenset(w for w, n in seen.items() if n > 1 and len(w) > 2) | _words["lex"] | _words["grp"]
-    channel = Channel(CharModel(char_counts(docs.select(f"`{text}`"))), known)
-    return fit([t for t, _ in labelled] + plain, [y for _, y in labelled] + [None] * len(plain), channel)
+    corpus = docs.select(f"`{text}`")
+    channel = Channel(CharModel(char_counts(corpus)), known)
+    wanted = {x for t, y in labelled if y for f in statements(t, channel) for x in f}
+    frequencies, documents = document_frequencies(corpus, channel, wanted) if wanted else ({}, 0)
+    return fit([t for t, _ in labelled], [y for _, y in labelled], channel, frequencies, documents)
 
 
 def scores(docs: DataFrame, doc: str, text: str, scorer: Scorer, *also: str) -> DataFrame:
@@ -312,10 +365,8 @@ def scores(docs: DataFrame, doc: str, text: str, scorer: Scorer, *also: str) ->
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if mark not in _scorers:
             weights, bias, cost, known = shared.value
-            channel = Channel.__new__(Channel)
-            channel.cost, channel.known, channel.seen = cost, known, {}
             _scorers.clear()
-            _scorers[mark] = Scorer(weights, bias, channel)
+            _scorers[mark] = Scorer(weights, bias, _channel(cost, known))
         for frame in frames:
             yield frame.assign(score=[_scorers[mark].text(t) for t in frame.pop("t")])
 

@@ -47,8 +47,35 @@ def test_nothing_to_learn_from(spark):
     docs, reviews = data(spark)
     scorer = train(docs.limit(0), "doc_id", "text", reviews, "doc_id", "label")
     assert abuse.scores(docs.limit(0), "doc_id", "text", scorer).count() == 0
-    scorer = train(docs, "doc_id", "text", reviews.limit(0), "doc_id", "label")
-    assert scorer.text("du arschloch") > scorer.text("guten tag") and scorer.text(None) == 0.0
+    with pytest.warns(UserWarning, match="nothing is learnt"):
+        scorer = train(docs, "doc_id", "text", reviews.limit(0), "doc_id", "label")
+    assert scorer.text("du arschloch") < 1e-9 and scorer.text(None) == 0.0
+
+
+def test_frequencies_are_of_the_whole_corpus(spark, channel):
+    docs, _ = data(spark, 80)
+    wanted = {x for t in BAD for f in abuse.statements(t, channel) for x in f}
+    got, n = abuse.document_frequencies(docs.select("text"), channel, wanted)
+    texts = [r[0] for r in docs.select("text").collect()]
+    held = [{x for f in abuse.statements(t or "", channel) for x in f} for t in texts]
+    assert n == len(texts) and got == {x: sum(x in h for h in held) for x in wanted}
+
+
+def test_sample_is_bounded_in_characters(spark):
+    docs, reviews = data(spark, 160)
+    seen = []
+    real = abuse.fit
+    try:
+        abuse.fit = lambda texts, *rest: seen.append(sum(map(len, texts))) or real(texts, *rest)
+        train(docs, "doc_id", "text", reviews, "doc_id", "label", sample_chars=3000)
+    finally:
+        abuse.fit = real
+    assert 1500 < seen[0] <= 3000
+
+
+def test_other_scripts(channel):
+    assert channel.mend("\u0430rschl\u043ech") == "arschloch" and channel.mend("пожалуйста") == "пожалуйста"
+    assert folded("Głupi ŁOŚ") == "glupi los" and channel.mend("пппппет") == "пет"
 
 
 def test_counts_are_whole(spark):
