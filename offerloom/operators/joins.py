@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from collections import Counter
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,11 +14,6 @@ from pyspark.sql import functions as F
 LIST_LIMIT = 100_000
 
 
-def small(df: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
-    """df with a broadcast hint if it has at most limit rows; Spark decides otherwise."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 #: A key on more rows than this is hot; its rows are dealt to one task for each so many.
 HOT_ROWS = 100_000
 
@@ -42,11 +41,21 @@ def looked_up(rows: DataFrame, key: str, names: DataFrame, hot: DataFrame | None
 def containment_join(texts: DataFrame, text: str, keywords: DataFrame, keyword: str, value: str) -> DataFrame:
     """text, value: for each text the value of the longest keyword that it holds or that holds it.
 
-    Ties fall to the first keyword, then the first value. Texts are distinct by then; '' matches nothing.
+    Ties fall to the first keyword, then the first value. Texts are distinct by then; '' matches nothing. A list of at most
+    LIST_LIMIT keywords is broadcast. A longer one is joined on equal strings: the parts of a text that have a keyword's
+    length with the keywords, and the parts of a keyword with the texts.
     """
     texts, keys = texts.select(text).where(F.col(text) != "").distinct(), keywords.select(keyword, value).where(F.col(keyword) != "")
-    hit = F.col(text).contains(F.col(keyword)) | F.col(keyword).contains(F.col(text))
-    pairs = texts.join(small(keys), hit)
+    if keys.limit(LIST_LIMIT + 1).count() <= LIST_LIMIT:
+        pairs = texts.join(F.broadcast(keys), F.col(text).contains(F.col(keyword)) | F.col(keyword).contains(F.col(text)))
+    else:
+        # Distinct lengths: at most as many as the longest keyword has letters.
+        sizes = F.lit(sorted(r[0] for r in keys.select(F.length(keyword)).distinct().collect()))
+        parts = lambda c, n: F.array_distinct(F.flatten(F.transform(n, lambda k: F.transform(F.sequence(F.lit(1), F.length(c) - k + 1), lambda i: F.substring(c, i, k)))))
+        held = texts.select(text, F.explode(parts(F.col(text), F.filter(sizes, lambda k: k <= F.length(text)))).alias("part"))
+        holds = keys.select(keyword, value, F.explode(parts(F.col(keyword), F.sequence(F.lit(1), F.length(keyword)))).alias("part"))
+        inside = held.join(keys.withColumn("part", F.col(keyword)), "part").select(text, keyword, value)
+        pairs = inside.unionByName(texts.join(holds, F.col(text) == F.col("part")).select(text, keyword, value))
     return pairs.groupBy(text).agg(F.min_by(value, F.struct(-F.length(keyword), F.col(keyword), F.col(value))).alias(value))
 
 
@@ -66,16 +75,46 @@ def token_sort_ratio(a: str, b: str) -> float:
     return 200.0 * (len(x) - s.bit_count()) / (len(x) + len(y))
 
 
+class NameIndex:
+    """Names by the length of their sorted words, with their letters; finds the closest one without trying all."""
+
+    def __init__(self, names: list[str]):
+        rows = sorted((len(" ".join(sorted(n.split()))), i, n) for i, n in enumerate(names))
+        self.sizes, self.rows = [r[0] for r in rows], [(i, n, Counter(n.replace(" ", ""))) for _, i, n in rows]
+
+    def best(self, text: str, threshold: float) -> tuple[float, int, str | None]:
+        """Ratio, -place and name of the closest name from the threshold on (above 0); the first of equals.
+
+        A common subsequence is no longer than the shorter text, nor than the letters in common (and the blanks), which
+        bounds the ratio and spares most comparisons.
+        """
+        size, letters, top = len(" ".join(sorted(text.split()))), Counter(text.replace(" ", "")), (0.0, 0, None)
+        least = threshold / (200 - threshold)
+        for at in range(bisect_left(self.sizes, size * least - 1e-9), bisect_right(self.sizes, size / least + 1e-9)):
+            i, name, own = self.rows[at]
+            common = sum((letters & own).values()) + min(text.count(" "), self.sizes[at])
+            if 200.0 * common >= max(threshold, top[0]) * (size + self.sizes[at]) - 1e-6:
+                ratio = token_sort_ratio(text, name)
+                if ratio >= threshold:
+                    top = max(top, (ratio, -i, name), key=lambda x: (x[0], x[1]))
+        return top
+
+
 def fuzzy_best(texts: DataFrame, text: str, names: list[str], threshold: float = 80.0) -> DataFrame:
-    """text, name, ratio: the name closest to each distinct text, if its ratio reaches the threshold; the first of equals."""
+    """text, name, ratio: the name closest to each distinct text, if its ratio reaches the threshold; the first of equals.
+
+    The names (at most LIST_LIMIT) are broadcast.
+    """
+    if len(names) > LIST_LIMIT:
+        raise ValueError(f"more than {LIST_LIMIT} names: cut the list into parts and take the best of their results")
+    shared = texts.sparkSession.sparkContext.broadcast(names)
 
     @F.pandas_udf("name string, ratio double")
-    def best(column: pd.Series) -> pd.DataFrame:
-        out = []
-        for t in column:
-            top = max(((token_sort_ratio(t, n), -i, n) for i, n in enumerate(names)), default=(0.0, 0, None))
-            out.append((top[2], top[0]) if top[0] >= threshold else (None, None))
-        return pd.DataFrame(out, columns=["name", "ratio"])
+    def best(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        index = NameIndex(shared.value)
+        for column in columns:
+            found = [index.best(t, threshold) for t in column]
+            yield pd.DataFrame([(n, r) if n is not None else (None, None) for r, _, n in found], columns=["name", "ratio"])
 
     found = texts.select(text).where(F.col(text).isNotNull()).distinct().withColumn("b", best(text))
     return found.select(text, "b.name", "b.ratio").where("name is not null")

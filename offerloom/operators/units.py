@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import squeeze, supplier_key
@@ -71,6 +71,20 @@ def read_unit(text: str | None) -> tuple[str | None, float]:
     return ("stueck" if u.rstrip(".") in PIECES else None), 1.0
 
 
+#: A unit of weight or volume as read_unit takes it, for expressions: count and name.
+UNIT_PATTERN = rf"^(?:(?:je|per|pro|/)\s*)?(\d+)?\s*({'|'.join(sorted(MEASURES, key=len, reverse=True))})\.?$"
+
+
+def unit_reading(unit: Column) -> Column:
+    """struct(base, factor) of a unit as an expression: what read_unit says of it; nulls for containers and null."""
+    u = squeeze(unit)
+    table = lambda i: F.create_map(*[x for k, v in MEASURES.items() for x in (F.lit(k), F.lit(float(v[1]) if i else v[0]))])
+    name, count = F.regexp_extract(u, UNIT_PATTERN, 2), F.regexp_extract(u, UNIT_PATTERN, 1).try_cast("double")
+    piece = F.rtrim(u, F.lit(".")).isin(*PIECES)
+    base = F.coalesce(F.try_element_at(table(0), name), F.when(piece, "stueck"))
+    return F.struct(base.alias("base"), F.when(base.isNotNull(), F.coalesce(count, F.lit(1.0)) * F.coalesce(F.try_element_at(table(1), name), F.lit(1.0))).alias("factor"))
+
+
 def read_number(text: str, grouped: bool) -> float:
     """A printed number: comma is decimal; where grouped, a point before three digits groups thousands."""
     if grouped and re.fullmatch(r"[1-9]\d{0,2}(?:\.\d{3})+", text):

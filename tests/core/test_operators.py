@@ -80,3 +80,41 @@ def test_dense(spark):
     v = spark.createDataFrame([(i, [float(i % 3), 1.0]) for i in range(9)] + [(9, None)], "k bigint, v array<double>")
     got = {(r["query"], r["rank"]): (r["k"], r["similarity"]) for r in dense_neighbours(spark, v, "k", "v", F.col("key") == 0, 2).collect()}
     assert got == {(0, 1): (3, 1.0), (0, 2): (6, 1.0)}
+
+
+def test_long_keyword_lists_join_on_equal_strings(spark, monkeypatch):
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abc ") for _ in range(rng.randint(1, n))).strip()
+    t = spark.createDataFrame([(word(9),) for _ in range(80)] + [(None,)], "t string")
+    k = spark.createDataFrame([(word(5), f"v{i % 7}") for i in range(40)], "k string, v string")
+    want = rows(containment_join(t, "t", k, "k", "v"))
+    monkeypatch.setattr(joins, "LIST_LIMIT", 3)
+    assert rows(containment_join(t, "t", k, "k", "v")) == want and len(want) > 20
+
+
+def test_closest_name_as_by_trying_all():
+    rng = random.Random(8)
+    names = [" ".join("".join(rng.choice("abcd") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 3))) for _ in range(60)]
+    index = joins.NameIndex(names)
+    for _ in range(300):
+        t = rng.choice(names) + rng.choice(["", "a", " b", "c"])
+        for least in (60.0, 80.0):
+            top = max(((token_sort_ratio(t, n), -i, n) for i, n in enumerate(names)), key=lambda x: (x[0], x[1]))
+            assert index.best(t, least) == (top if top[0] >= least else (0.0, 0, None))
+
+
+def test_dense_over_batches_and_blocks(spark, monkeypatch):
+    import offerloom.operators.similarity as similarity
+
+    monkeypatch.setattr(similarity, "BLOCK", 3)
+    rng = random.Random(6)
+    data = [(i, [rng.choice([-1.0, 0.0, 1.0]) for _ in range(4)]) for i in range(120)]
+    size = {i: sum(x * x for x in v) ** 0.5 for i, v in data}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = {(r["query"], r["rank"]): (r["k"], r["similarity"]) for r in dense_neighbours(spark, spark.createDataFrame(data, "k bigint, v array<double>"), "k", "v", F.col("key") % 10 == 0, 5).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for q, v in data[::10]:
+        sims = sorted((-round(sum(a * b for a, b in zip(v, w, strict=True)) / (size[q] * size[i]) if size[q] and size[i] else 0.0, 6) + 0.0, i) for i, w in data if i != q)[:5]
+        assert [got[q, n + 1] for n in range(5)] == [(i, -s) for s, i in sims]

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import offerloom.operators.units as units
 from offerloom.operators.changepoints import levels, segments
@@ -126,3 +127,9 @@ def test_many_rows_at_one_time_stream(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len(out) == 900 and {r["base_amount"] for r in out} == {2000}
+
+
+def test_units_as_expressions(spark):
+    texts = [" 100 Gramm ", "St.", "Kiste", None, "", "je 100g", "Pfd.", "pro kg", "KG", "2 L", "Bund", "/ ml", "t", "3 Stück", "kg kg"]
+    got = spark.createDataFrame([(t,) for t in texts], "u string").select("u", units.unit_reading(F.col("u")).alias("r")).select("u", "r.*").collect()
+    assert [(r["base"], r["factor"]) for r in got] == [(b, f if b else None) for b, f in map(read_unit, texts)]
