@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from ..session import Scratch
 from .leaks import folded_words
 
-#: Words a listed form can be split into; different entries beside which a word counts as decoration.
-WINDOW, SPREAD = 5, 4
+#: Different entries beside which a word counts as decoration.
+SPREAD = 4
 #: Most edits, and the least length of a form for each number of them.
 EDITS = 2
 LEAST_LENGTH = {1: 5, 2: 7}
@@ -64,10 +64,15 @@ def listed_forms(canon: DataFrame, name: str, keywords: str) -> DataFrame:
     return forms.select("canonical", "w", F.replace("w", F.lit(" "), F.lit("")).alias("form")).where("form <> '' and canonical is not null")
 
 
-def _single(forms: DataFrame) -> DataFrame:
-    """Forms of just one entry."""
-    one = forms.groupBy("form").agg(F.min("canonical").alias("canonical"), F.max("canonical").alias("other"), F.max(F.col("w").contains(" ")).alias("phrase"))
-    return one.where("canonical = other").drop("other")
+def _first(forms: DataFrame) -> DataFrame:
+    """Each form with its entry, the first one by name where several have it."""
+    return forms.groupBy("form").agg(F.min("canonical").alias("canonical"), F.max(F.col("w").contains(" ")).alias("phrase"))
+
+
+def _sole(forms: DataFrame) -> DataFrame:
+    """Forms of one entry only: what several entries come to when their decoration is taken away tells none of them."""
+    one = forms.groupBy("form").agg(F.count_distinct("canonical").alias("entries"), F.min("canonical").alias("canonical"), F.max(F.col("w").contains(" ")).alias("phrase"))
+    return one.where("entries = 1").drop("entries")
 
 
 def _segments(length: str, k: str, i: str) -> tuple[str, str]:
@@ -98,9 +103,11 @@ def _words_of(df: DataFrame, column: str) -> DataFrame:
     return df.select("w", F.posexplode(column).alias("at", "word")).withColumn("plain", F.regexp_replace("word", r"^\d+(?:x\d+)*", "")).where("plain = word or length(plain) > 2").drop("word").withColumnRenamed("plain", "word")
 
 
-def map_to_list(df: DataFrame, row: str, text: str, canon: DataFrame, name: str, keywords: str) -> DataFrame:
+def map_to_list(df: DataFrame, row: str, text: str, canon: DataFrame, name: str, keywords: str, way: str | None = None) -> DataFrame:
     """row and canonical_name for each row of df: the entry its text means, '' where it means none.
 
+    If way names a column, it says how: 'listed' (a listed form and decoration), 'near' (by the pigeonhole join), 'none'.
+
     Null, empty and wordless texts mean none. Ties fall to fewer edits, the longer form, then the first entry by name.
     Repeated rows give a row each. Names and entries are matched whole. An empty list maps every row to ''; an empty
     table gives no rows. Other columns are not read.
@@ -109,9 +116,11 @@ def map_to_list(df: DataFrame, row: str, text: str, canon: DataFrame, name: str,
     rows = df.select(F.col(f"`{row}`").alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     names = box.keep(rows.groupBy("text").agg(F.count(F.lit(1)).alias("n")).withColumns({"w": name_words(F.col("text")), "turned": F.col("text").rlike(TURN)}))
     listed = box.keep(listed_forms(canon, name, keywords).distinct())
+    # Any run of words may be a form, however many it is split into, as long as it is no longer than the longest form.
+    longest = listed.agg(F.max(F.length("form"))).first()[0] or 1
     texts = names.where("w <> ''").groupBy("w").agg(F.max("turned").alias("turned")).withColumn("words", F.split("w", " "))
-    windows = F.inline(F.expr(f"flatten(transform(sequence(0, size(words) - 1), i -> transform(sequence(1, least({WINDOW}, size(words) - i)), n -> struct(array_join(slice(words, i + 1, n), '') as form, i, n))))"))
-    inside = texts.select("w", windows).join(_single(listed), "form").groupBy("w").agg(F.max(F.struct(F.length("form").alias("l"), "canonical", "i", "n")).alias("b"))
+    windows = F.inline(F.expr(f"flatten(transform(sequence(0, size(words) - 1), i -> filter(transform(sequence(1, least({longest}, size(words) - i)), n -> struct(array_join(slice(words, i + 1, n), '') as form, i, n)), x -> length(x.form) <= {longest})))"))
+    inside = texts.select("w", windows).join(_first(listed), "form").groupBy("w").agg(F.max(F.struct(F.length("form").alias("l"), "canonical", "i", "n")).alias("b"))
     hits = box.keep(inside.select("w", "b.canonical", F.expr("filter(split(w, ' '), (x, j) -> j < b.i or j >= b.i + b.n)").alias("beside")))
     beside = _words_of(hits, "beside")
     spread = beside.join(hits.select("w", "canonical"), "w").groupBy("word").agg(F.countDistinct("canonical").alias("entries")).where(F.col("entries") >= SPREAD)
@@ -122,16 +131,21 @@ def map_to_list(df: DataFrame, row: str, text: str, canon: DataFrame, name: str,
     stripped = lambda d: _words_of(d, "words").join(decoration, "word", "left_anti").groupBy("w").agg(F.expr("transform(array_sort(collect_list(struct(at, word))), x -> x.word)").alias("core"))
     # Parts in turned order are tried too; without a mark they must make a listed phrase, or a listed word unchanged
     # ('Kartoffel Salat' is not 'Salatkartoffeln' with a letter missing).
-    turns = F.inline(F.expr(f"""transform(sequence(0, if(size(core) between 2 and {WINDOW}, size(core) - 1, 0)),
+    turns = F.inline(F.expr(f"""transform(sequence(0, if(size(core) > 1 and length(array_join(core, '')) <= {longest + EDITS}, size(core) - 1, 0)),
         r -> struct(array_join(concat(slice(core, r + 1, size(core)), slice(core, 1, r)), '') as core, r > 0 and not turned as strict))"""))
     cores = box.keep(stripped(rest).join(rest.select("w", "turned"), "w").select("w", turns).distinct())
     bare = stripped(listed.select("w", F.split("w", " ").alias("words")).distinct()).join(listed.select("w", "canonical"), "w").select("w", F.array_join("core", "").alias("form"), "canonical").distinct()
-    forms = _single(listed.unionByName(bare))
+    # Listed forms stand as they are; stripped ones count where no listed form is the same.
+    whole = _first(listed)
+    forms = whole.unionByName(_sole(bare).join(whole.select("form"), "form", "left_anti"))
     near = cores.join(pigeonhole_join(cores.select("core").distinct(), forms), "core").where("not strict or phrase or edits = 0").groupBy("w").agg(F.min(F.struct("edits", (-F.col("length")).alias("l"), "canonical")).alias("b"))
-    matched = settled.unionByName(near.select("w", "b.canonical"))
-    meant = box.keep(names.join(matched, "w").select("text", "n", "canonical"))
-    none = names.join(meant, "text", "left_anti").select("text", "n", F.lit("").alias("canonical"))
-    return _join_back(rows, meant.unionByName(none)).select(F.col("row").alias(row), F.col("canonical").alias("canonical_name"))
+    matched = settled.withColumn("way", F.lit("listed")).unionByName(near.select("w", "b.canonical", F.lit("near").alias("way")))
+    meant = box.keep(names.join(matched, "w").select("text", "n", "canonical", "way"))
+    none = names.join(meant, "text", "left_anti").select("text", "n", F.lit("").alias("canonical"), F.lit("none").alias("way"))
+    out = _join_back(rows, meant.unionByName(none))
+    for table in (hits, decoration, cores):
+        box.drop(table)
+    return out.select(F.col("row").alias(row), F.col("canonical").alias("canonical_name"), *([F.col("way").alias(way)] if way else []))
 
 
 def _join_back(rows: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -139,4 +153,4 @@ def _join_back(rows: DataFrame, mapping: DataFrame) -> DataFrame:
     hot = F.broadcast(mapping.where(F.col("n") > HOT_ROWS).select("text", F.ceil(F.col("n") / HOT_ROWS).cast("int").alias("salts")))
     salted = rows.join(hot, "text", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("row"), F.col("salts")).cast("int"), F.lit(0))).drop("salts")
     every = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / HOT_ROWS).cast("int"), F.lit(1)) - 1))
-    return salted.join(mapping.select("text", "canonical", every.alias("salt")), ["text", "salt"])
+    return salted.join(mapping.select("text", "canonical", "way", every.alias("salt")), ["text", "salt"])

@@ -11,7 +11,7 @@ from .canonical import map_to_list
 from .components import linked_groups
 from .leaks import MARKED, MISREAD, PLAIN, leaks, passages
 from .listings import product_groups, read_listings, same_product_pairs
-from .survivors import survivors, usable_origin, usable_price
+from .survivors import FILL_IN_ORIGINS, NAMES_COUNTRY, survivors, unknown_origin, usable_origin, usable_price
 from .tokens import corpus_ids
 
 # The decisions that link two products.
@@ -30,6 +30,13 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return map_to_list(table(spark, folder, "offers", "ord", "product_name"), "ord", "product_name", canon, "canonical_name", "keywords")
 
 
+def p3_ways(spark: SparkSession, folder: str) -> DataFrame:
+    """How many rows are settled by listed forms, by the pigeonhole join, and not at all."""
+    canon = table(spark, folder, "canonical_products", "canonical_name", "keywords")
+    mapped = map_to_list(table(spark, folder, "offers", "ord", "product_name"), "ord", "product_name", canon, "canonical_name", "keywords", way="way")
+    return mapped.groupBy("way").agg(F.count(F.lit(1)).alias("n"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     fields = ["product_name", "brand", "product", "description", "unit", "quantity"]
     read = read_listings(table(spark, folder, "enriched_offers", "source_row_index", *fields), "source_row_index", *fields)
@@ -49,6 +56,12 @@ def p6_supported(spark: SparkSession, folder: str) -> DataFrame:
     return survivors(offers, "offer_key", "ord", fields, offers.extraction_confidence, offers.extracted_at, weights="support")
 
 
+def p6_unknown(spark: SparkSession, folder: str) -> DataFrame:
+    """Origins that are taken for none though they don't only fill the field, with their rows."""
+    o = table(spark, folder, "offers", "origin")
+    return o.groupBy(unknown_origin(o.origin).alias("origin")).agg(F.count(F.lit(1)).alias("n")).where("origin is not null")
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_ids(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text")
 
@@ -78,7 +91,7 @@ def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
     return p9_scores(spark, folder).groupBy("source").agg(F.count(F.lit(1)).alias("documents"), hit.alias("abusive"), F.round(hit / F.count(F.lit(1)), 4).alias("rate"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_supported": p6_supported, "p7_ids": p7_ids, "p8_found": p8_found, "p8_edited": p8_edited, "p9_found": p9_found, "p9_rates": p9_rates}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_ways": p3_ways, "p4_found": p4_found, "p6_found": p6_found, "p6_supported": p6_supported, "p6_unknown": p6_unknown, "p7_ids": p7_ids, "p8_found": p8_found, "p8_edited": p8_edited, "p9_found": p9_found, "p9_rates": p9_rates}
 
 
 
@@ -111,13 +124,15 @@ n AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 r AS (SELECT a AS id, a AS root FROM n UNION SELECT n.b, r.root FROM r JOIN n ON n.a = r.id WHERE r.root < n.b OR r.root < r.id)
 SELECT id AS product_id, min(root) AS group_id FROM r GROUP BY id
 """,
-    "p6_found": """
+    "p6_unknown": f"""
+SELECT trim(origin) AS origin, count(*) AS n FROM offers
+WHERE origin IS NOT NULL AND NOT regexp_matches(lower(trim(origin)), '{NAMES_COUNTRY}') AND lower(trim(origin)) NOT IN {FILL_IN_ORIGINS} GROUP BY 1""",
+    "p6_found": f"""
 WITH r AS (
   SELECT offer_key, ord, extracted_at AS t, CAST(round(CASE WHEN extraction_confidence <= 1 THEN extraction_confidence * 100 ELSE extraction_confidence END) AS INT) AS c,
          count(*) OVER (PARTITION BY offer_key) AS n, trim(coalesce(origin, '')) AS origin, price_per_kg AS p FROM offers),
 v AS (
-  SELECT offer_key, 'origin' AS field, ord, c, t FROM r WHERE n > 1 AND lower(origin) NOT IN
-    ('', '-', '--', '?', 'n/a', 'none', 'diverse', 'unbekannt', 'unknown', 'k.a.', 'k. a.', 's. etikett', 'siehe etikett', 'nicht angegeben')
+  SELECT offer_key, 'origin' AS field, ord, c, t FROM r WHERE n > 1 AND regexp_matches(lower(origin), '{NAMES_COUNTRY}')
   UNION ALL
   SELECT offer_key, 'price_per_kg', ord, c, t FROM r WHERE n > 1 AND p > 0 AND NOT isnan(p) AND p NOT IN (9999.0, 99999.99))
 SELECT offer_key, field, ord FROM v QUALIFY row_number() OVER (PARTITION BY offer_key, field ORDER BY c DESC, t DESC, ord DESC) = 1
