@@ -5,8 +5,8 @@ Text is read by column expressions. Each row then has up to two log values: how
 its text states (or, without one, with the unit price it states), and how its price for the amount compares with that
 unit price. The history of a source is segmented on these values (operators.changepoints), and the segments decide: one
 whose level matches a known factor marks values on another scale, which are reversed. A row without such a value of its
-own is reversed too where it lies within a segment that SUPPORT values stand for; between two segments it stays as
-printed.
+own is reversed too where it lies within a segment that SUPPORT values stand for and is of their size; between two
+segments it stays as printed.
 
 Skew: a source's history of more than BLOCK rows is cut into slices of equal time, about BLOCK rows each, so that no
 source falls to one task. Neighbouring slices overlap by OVERLAP of their length: the rows there are context on one side
@@ -177,19 +177,19 @@ def _histories(rows: pd.DataFrame) -> list[tuple[int, int]]:
     return list(zip([0, *edges.tolist()], [*edges.tolist(), len(rows)], strict=True))
 
 
-def _levels(x: np.ndarray, blocks: list[tuple[int, int]], penalty: float) -> np.ndarray:
+def _levels(x: np.ndarray, blocks: list[tuple[int, int]], penalty: float, size: np.ndarray, factor: float) -> np.ndarray:
     """Segment levels by history. A row without a value takes the level of the segment around it if enough values stand
-    for that; else nan."""
+    for that and its size (log of what would be reversed) is nearer to theirs than to theirs less factor; else nan."""
     out, there = np.full(len(x), np.nan), ~np.isnan(x)
     for a, b in blocks:
         at = a + np.flatnonzero(there[a:b])
         start = 0
         for end in segments(x[at], penalty):
             level = x[at[start:end]].mean()
+            out[at[start:end]] = level
             if end - start >= SUPPORT:
-                out[at[start] : at[end - 1] + 1] = level
-            else:
-                out[at[start:end]] = level
+                span = slice(at[start], at[end - 1] + 1)
+                out[span] = np.where(there[span] | (size[span] > np.median(size[at[start:end]]) - factor / 2), level, np.nan)
             start = end
     return out
 
@@ -203,11 +203,11 @@ def reverse_scales(rows: pd.DataFrame) -> pd.DataFrame:
     amount, money = rows["amount"].to_numpy(float).copy(), rows["price"].to_numpy(float)
     # A row that states no content still shows its scale where its price per unit agrees with its amount.
     shown = np.where(np.abs(price + QUANTITY_FACTORS[1]) < NEAR, QUANTITY_FACTORS[1], np.where(np.isnan(price), np.nan, 0.0))
-    level = np.nan_to_num(_levels(np.where(np.isnan(content), shown, content), blocks, CONTENT_PENALTY))
+    level = np.nan_to_num(_levels(np.where(np.isnan(content), shown, content), blocks, CONTENT_PENALTY, np.log(amount), QUANTITY_FACTORS[1]))
     small = rows["measured"].to_numpy(bool) & (np.abs(level - QUANTITY_FACTORS[1]) < NEAR)
     amount[small] /= 1000
     price = np.where(small, price + QUANTITY_FACTORS[1], price)
-    level = np.nan_to_num(_levels(price, blocks, PRICE_PENALTY))
+    level = np.nan_to_num(_levels(price, blocks, PRICE_PENALTY, np.log(money), np.log(100.0)))
     # Prices in cents are whole numbers.
     cents = PRICE_IS_CENTS[np.abs(level[:, None] - PRICE_FACTORS[None, :]).argmin(axis=1)] & (money == np.floor(money))
     whole = np.floor(amount + 0.5).astype(np.int64)

@@ -97,6 +97,12 @@ def test_segments_decide_on_rows_without_evidence(spark):
     assert run(spark, few)[13] == ("g", 2_000_000, 1)
 
 
+def test_rows_of_the_true_size_stay_within_a_shifted_segment(spark):
+    rows = [("Lachs 2 kg", None, "kg", 2000.0, 20.0, 10.0)] * 6 + [("Lachs", None, "kg", 4.0, 40.0, None), ("Lachs", None, "kg", 3000.0, 30.0, None)] + [("Lachs 2 kg", None, "kg", 2000.0, 20.0, 10.0)] * 6
+    got = run(spark, rows)
+    assert got[6] == ("g", 4000, 1000) and got[7] == ("g", 3000, 1000) and {got[i] for i in range(14) if i not in (6, 7)} == {("g", 2000, 1000)}
+
+
 def test_prices_in_cents_for_a_while(spark):
     rows = [("Lachs", None, "kg", 2.0, 2000.0 if 30 <= i < 60 else 20.0, None if i % 4 == 1 else 10.0) for i in range(90)]
     assert set(run(spark, rows).values()) == {("g", 2000, 1000)}
