@@ -62,6 +62,9 @@ ADDRESS = "du dich dir dein deine deinem deiner deinen ihr euch euer eure you yo
 _letters = str.maketrans({"ä": "a", "ö": "o", "ü": "u", "ß": "ss", "é": "e", "è": "e", "á": "a", "à": "a", "â": "a", "ê": "e", "ç": "c", "ñ": "n", "ó": "o", "í": "i", "ú": "u", "ô": "o", "î": "i", "û": "u", "ï": "i", "ı": "i", "ł": "l", "ą": "a", "ę": "e", "ć": "c", "ń": "n", "ś": "s", "ź": "z", "ż": "z", "č": "c", "š": "s", "ž": "z", "ř": "r", "ě": "e", "ğ": "g", "ş": "s", "ø": "o", "å": "a", "æ": "ae", "œ": "oe", "ã": "a", "õ": "o", "ì": "i", "ò": "o", "ù": "u"})
 # Letters of other scripts that look like Latin ones.
 ALIKE = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "х": "x", "у": "y", "і": "i", "ѕ": "s", "ј": "j", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "α": "a", "ο": "o", "ε": "e", "ι": "i", "ν": "v", "ρ": "p", "τ": "t", "υ": "u", "κ": "k"}
+_frequent = [(c, _letters[ord(c)]) for c in "äöüß"]
+_marked = re.compile(f"[{''.join(map(chr, _letters))}]")
+_white = re.compile(r"[^\S\n]{2,}|[^\S\n ]")
 _words = {"lex": frozenset(INSULTS.split()), "grp": frozenset(GROUPS.split()), "you": frozenset(ADDRESS.split())}
 _split = re.compile(r"(?<=[.!?…])\s+|[\r\n]+")
 _gone = re.compile("[­​-‏⁠﻿]")
@@ -80,7 +83,12 @@ def folded(text: str) -> str:
     if "Ã" in text:
         text = re.sub("[Â-ô][\x80-\xbf]+", _mend, text)
     text = _gone.sub("", unicodedata.normalize("NFKC", text)).lower()
-    return re.sub(r"[^\S\n]+", " ", text.translate(_letters))
+    if not text.isascii():
+        for marked, plain in _frequent:
+            text = text.replace(marked, plain)
+        if not text.isascii():
+            text = _marked.sub(lambda m: _letters[ord(m[0])], text)
+    return _white.sub(" ", text)
 
 
 def _mend(m: re.Match) -> str:

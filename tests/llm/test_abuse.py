@@ -92,3 +92,9 @@ def test_signs_stand_anywhere():
         assert c.mend(seen).rstrip("!") == meant.rstrip("!"), seen
     plain = "am 2026-01-12t11:30 500g 2x3 kg (muskat, senf) seite_053 5ad0ca8288fcf0fc"
     assert c.mend(plain).replace("(", "") == plain.replace("(", "")
+
+
+def test_folding_as_letter_by_letter():
+    for text in ("Größe ÄÖÜ  \t x\n\n y   z", "Ça łódź ​Пр", "plain  text", "", "é" * 50 + "  ß"):
+        plain = abuse._gone.sub("", abuse.unicodedata.normalize("NFKC", text)).lower().translate(abuse._letters)
+        assert folded(text) == abuse.re.sub(r"[^\S\n]+", " ", plain)
