@@ -10,7 +10,7 @@ from ..functions.names import squeeze, supplier_key
 from ..operators.graph import clusters
 from ..operators.joins import containment_join, dated_or_any, fuzzy_best
 from ..operators.ranking import interleaved, last_until_sure, mode_first_seen, top_k, winner
-from ..operators.similarity import dense_neighbours, tfidf, tfidf_neighbours
+from ..operators.similarity import dense_neighbours, tfidf_neighbours
 from ..plans.comparison import comparison
 from ..sources.tables import table
 
@@ -203,8 +203,7 @@ SELECT query, source_row_index, similarity, rn AS rank FROM (SELECT *, row_numbe
 def tfidf_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """Every listing counts, with or without a brand; every fiftieth one asks."""
     e = table(spark, folder, "enriched_offers", "source_row_index", "product_name")
-    v = tfidf(e, "source_row_index", F.col("product_name"))
-    return tfidf_neighbours(v.where("source_row_index % 50 = 0"), v, "source_row_index", 5)
+    return tfidf_neighbours(e, "source_row_index", e.product_name, F.col("source_row_index") % 50 == 0, 5)
 
 
 @query("""
